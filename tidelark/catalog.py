@@ -1,0 +1,8 @@
+"""All registered queries and their DuckDB oracles."""
+
+QUERIES: dict = {}
+ORACLES: dict = {}
+
+
+def flagship(spark, sf_dir):
+    raise NotImplementedError
