@@ -13,11 +13,23 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import hilbert_shards
+
+    return hilbert_shards(table(spark, sf_dir, "documents"))
+
+
 def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .piece_codec import encode_digests
 
     return encode_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_token_counts, op9_piece_codec)}
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import exact_topk
+
+    return exact_topk(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op6_token_counts, op8_hilbert_shards, op9_piece_codec, op10_exact_topk)}
 ORACLE_SQL: dict[str, str] = {}
