@@ -13,6 +13,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import language_ids
+
+    return language_ids(table(spark, sf_dir, "documents"))
+
+
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import hilbert_shards
 
@@ -31,5 +37,5 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op6_token_counts, op8_hilbert_shards, op9_piece_codec, op10_exact_topk)}
+QUERIES = {f.__name__: f for f in (op6_token_counts, op7_language_id, op8_hilbert_shards, op9_piece_codec, op10_exact_topk)}
 ORACLE_SQL: dict[str, str] = {}
