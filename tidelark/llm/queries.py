@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import document_toxicity
+
+    return document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import document_quality
 
@@ -43,5 +49,5 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality, op6_token_counts, op7_language_id, op8_hilbert_shards, op9_piece_codec, op10_exact_topk)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_quality, op6_token_counts, op7_language_id, op8_hilbert_shards, op9_piece_codec, op10_exact_topk)}
 ORACLE_SQL: dict[str, str] = {}
