@@ -13,12 +13,24 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import document_quality
 
     return document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
@@ -49,5 +61,5 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_quality, op6_token_counts, op7_language_id, op8_hilbert_shards, op9_piece_codec, op10_exact_topk)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_quality, op5_decontamination, op6_token_counts, op7_language_id, op8_hilbert_shards, op9_piece_codec, op10_exact_topk)}
 ORACLE_SQL: dict[str, str] = {}
