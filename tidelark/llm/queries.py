@@ -25,6 +25,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import repeat_digests
+
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import contamination
 
@@ -61,5 +67,5 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_quality, op5_decontamination, op6_token_counts, op7_language_id, op8_hilbert_shards, op9_piece_codec, op10_exact_topk)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_quality, op4_suffix_dedup, op5_decontamination, op6_token_counts, op7_language_id, op8_hilbert_shards, op9_piece_codec, op10_exact_topk)}
 ORACLE_SQL: dict[str, str] = {}
