@@ -195,3 +195,13 @@ def language_ids(docs: DataFrame) -> DataFrame:
     held_out = crc_mod("doc_id", 4) == 2
     model = train(docs.filter(~held_out))
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+def with_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language is known: those without a letter or a text (``und``) go."""
+    held_out = crc_mod("doc_id", 4) == 2
+    model = train(docs.filter(~held_out))
+    renamed = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(docs.columns)])
+    at = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    named = identify(renamed, model, id_col=at["doc_id"], text_col=at["text"], keep=tuple(v for k, v in at.items() if k != "doc_id"))
+    return named.filter("lang_pred <> 'und'").select(*[named[v].alias(k) for k, v in at.items()])

@@ -151,13 +151,28 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """id, fingerprint (16 hex digits), component_id (the least id reachable)."""
-    prints = checkpointed(fingerprints(docs, id_col, text_col, shingle=shingle))
+def grouped(prints: DataFrame, id_col: str, radius: int) -> DataFrame:
+    """``prints`` (written fingerprints with ids) and component_id, the least id reachable."""
     distinct = checkpointed(prints.groupBy("fp").agg(F.min(id_col).alias("least")))
     roots = components(near_links(distinct.select("fp"), radius))
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     heads = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(heads, "root").select("fp", "component_id")
-    out = prints.join(named, "fp")
+    named = named.join(heads, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """id, fingerprint (16 hex digits), component_id (the least id reachable)."""
+    out = grouped(checkpointed(fingerprints(docs, id_col, text_col, shingle=shingle)), id_col, radius)
     return out.select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_per_group(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` but one of each group of near duplicates: its least id (of equal ids, one row)."""
+    keyed = docs.withColumn("_rid", F.xxhash64("doc_id", "text"))
+    groups = grouped(checkpointed(fingerprints(keyed, keep=("_rid",), shingle=shingle)), "doc_id", radius)
+    # a null id is no document's least while the group has another
+    head = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_rid")))
+    heads = groups.groupBy("root").agg(head.alias("h")).select(F.col("h._rid").alias("_rid"))
+    # equal rows have one _rid and meet here, already dealt by it
+    return keyed.join(heads, "_rid", "left_semi").dropDuplicates(["_rid"]).select(*docs.columns)
