@@ -51,7 +51,7 @@ TRACE = {
     "seq": "event_id",
     "step": "event_type",
     "model": "'m' || CAST(user_id % 5 AS STRING)",
-    "ts": "ts",
+    "ts": "CAST(ts AS TIMESTAMP)",
     "latency_ms": "CAST(event_id * 37 % 4000 AS BIGINT)",
     "prompt_tokens": "CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(event_id * 13 % 900 AS BIGINT) END",
     "completion_tokens": "CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(event_id * 7 % 300 AS BIGINT) END",
@@ -77,7 +77,7 @@ TICKETS = {
     "status": "CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'closed' ELSE 'in_review' END",
     "review_source": "CASE o_orderkey % 3 WHEN 0 THEN 'post_gate_blocked' WHEN 1 THEN 'soft_qa' ELSE 'execution_failure' END",
     "locale": "CASE o_orderkey % 2 WHEN 0 THEN 'ru-RU' ELSE 'en-US' END",
-    "opened": "o_orderdate",
+    "opened": "CAST(o_orderdate AS TIMESTAMP)",
     "cost": "o_totalprice",
 }
 #: Stages of runs: the lines of an order.
@@ -90,7 +90,7 @@ STAGES = {
     "error_code": "'E' || CAST(l_suppkey % 20 AS STRING)",
     "priority": "'P' || CAST(l_partkey % 4 AS STRING)",
     "seq": "l_orderkey * 10 + l_linenumber",
-    "ts": "l_shipdate",
+    "ts": "CAST(l_shipdate AS TIMESTAMP)",
 }
 BOUND = {"strings": ("documents", STRINGS), "ui": ("documents", UI_STRINGS), "trace": ("events", TRACE), "glossary": ("part", GLOSSARY), "tickets": ("orders", TICKETS), "stages": ("lineitem", STAGES)}
 
