@@ -38,7 +38,7 @@ from .suffixes import permuted_lcp, suffix_array
 LEAST, K = 50, 16
 SIDE = (LEAST - K) // 2
 HOT = 1000
-BUCKET_BYTES, SLICE = 24 << 20, 4 << 20
+BUCKET_BYTES, SLICE = 12 << 20, 1 << 20
 _POS = 28  # bits of a position in a slice
 _RECORD = np.dtype([("kh", "<u4"), ("kl", "<u2"), ("ch", "<u4"), ("cl", "<u2"), ("left", "<u2"), ("right", "<u2"), ("doc", "<u2"), ("at", "<i4"), ("n", "u1")])
 _SPAN = np.dtype([("rid", "<i8"), ("s", "<i4"), ("e", "<i4")])
@@ -179,6 +179,21 @@ def _joined(parts: list[np.ndarray], dtype: np.dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
+def _columns(records: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Records column by column, document numbers and places as differences (small numbers pack well in a shuffle)."""
+    at = np.diff(records["at"].astype(np.int64), prepend=0).astype(np.int32)
+    return (np.diff(doc, prepend=0).astype(np.uint16), at, *(np.ascontiguousarray(records[f]) for f in ("n", "kh", "kl", "ch", "cl", "left", "right")))
+
+
+def _rows_of(columns: tuple[np.ndarray, ...]) -> np.ndarray:
+    out = np.zeros(len(columns[0]), _RECORD)
+    out["doc"] = np.cumsum(columns[0])
+    out["at"] = np.cumsum(columns[1], dtype=np.int64)
+    for f, c in zip(("n", "kh", "kl", "ch", "cl", "left", "right"), columns[2:]):
+        out[f] = c
+    return out
+
+
 def _deal(buckets: int):
     """Stage 1, on slices of documents: records to gram buckets."""
 
@@ -200,9 +215,7 @@ def _deal(buckets: int):
 
                 def packed(i, records=records[kept], doc=doc, rid=rid):
                     used, inverse = np.unique(records["doc"][i], return_inverse=True)
-                    chosen = records[i].copy()
-                    chosen["doc"] = inverse
-                    return doc[used], rid[used], chosen
+                    return doc[used], rid[used], _columns(records[i], inverse)
 
                 out += _split(records, (key[kept] % np.uint64(buckets)).astype(np.int64), CONTEXTS, packed)
                 yield from _table(out).to_batches()
@@ -217,9 +230,11 @@ def _meet(buckets: int, most: int):
         spans, loads = _loads(table, SPANS), _loads(table, CONTEXTS)
         out = []
         if loads:
-            records = np.concatenate([r for _, _, r in loads])
+            loads = [(d, i, _rows_of(r)) for d, i, r in loads]
             doc = np.concatenate([d[r["doc"]] for d, _, r in loads])
             rid = np.concatenate([i[r["doc"]] for _, i, r in loads])
+            records = np.concatenate([r for _, _, r in loads])
+            del loads
             key = records["kh"].astype(np.uint64) << np.uint64(16) | records["kl"]
             order, first, least = _least((key, records["ch"], records["cl"]), doc)
             gone = order[doc[order] > least]
@@ -393,11 +408,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     def finish(rows: pa.Table, table: pa.Table) -> pa.Table:
         made = [None if raw is None else _kept(raw, spans).decode("utf-8", "ignore") for raw, spans in _cut(rows, table)]
-        columns = {c: rows[f"_{i}"] for i, c in enumerate(own)}
-        columns["text"] = pa.array(made, pa.string())
+        columns = {c: rows["id"] if c == "doc_id" else pa.array(made, pa.string()) if c == "text" else rows[f"_{i}"] for i, c in enumerate(own)}
         if "n_chars" in own:
             columns["n_chars"] = pa.array([None if t is None else len(t) for t in made], rows[f"_{own.index('n_chars')}"].type)
         return pa.table(columns)
 
-    chosen = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"), *[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
+    chosen = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"), *[docs[c].alias(f"_{i}") for i, c in enumerate(own) if c not in ("doc_id", "text")])
     return _repeats(chosen, finish, schema)
