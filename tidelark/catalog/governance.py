@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..functions import policy as R
+from ..functions.text import PATTERNS
 from ..operators import gates as T
 from ..operators import glossary as G
 from ..operators import relational as J
 from .base import bound, cte, query, read
 
 c = F.col
+TAG = PATTERNS[2][2]
 _RANK = "CASE scope WHEN 'project' THEN 4 WHEN 'ip' THEN 3 WHEN 'genre' THEN 2 ELSE 1 END"
 
 
@@ -230,3 +232,76 @@ def n10_pricing_merge(spark, d):
 @query("SELECT c_custkey, c_mktsegment AS segment, c_mktsegment AS source_zh FROM customer")
 def n20_header_fix(spark, d):
     return read(spark, d, "customer").select("c_custkey", c("c_mktsegment").alias("segment")).withColumn("source_zh", c("segment"))
+
+
+# -- freezing and plans ----------------------------------------------------------------------------------------------
+
+
+@query("WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '</?[A-Za-z0-9_]+(?:\\s*=?\\s*[^>]*)?>')) AS original, unnest(range(len(regexp_extract_all(html, '</?[A-Za-z0-9_]+(?:\\s*=?\\s*[^>]*)?>')))) AS pos FROM pages), f AS (SELECT original, min((page_id, pos)) AS first FROM t GROUP BY original) SELECT original, 'TAG_' || row_number() OVER (ORDER BY first) AS token FROM f")
+def p03_w08_token_numbers(spark, d):
+    from ..operators.freeze import token_map
+
+    tags = F.regexp_extract_all("html", F.lit(TAG), F.lit(0))
+    return token_map(read(spark, d, "pages").select("page_id", F.concat_ws(" ", tags).alias("t")), "t", "page_id")
+
+
+@query()
+def p03_freeze(spark, d):
+    from ..operators.freeze import freeze
+
+    frozen, _ = freeze(bound(spark, d, "ui"), "source_zh", "seq")
+    return frozen.select("string_id", "tokenized")
+
+
+@query(cte("ui") + "SELECT string_id FROM ui")
+def plan_deliver(spark, d):
+    from ..plans.localization import deliver
+
+    return deliver(bound(spark, d, "ui").select("string_id", "seq", "source_zh"))["delivered"].select("string_id")
+
+
+@query()
+def plan_refresh(spark, d):
+    from ..plans.refresh import refresh
+
+    rows = bound(spark, d, "strings").select("string_id", c("source_text").alias("source"), c("target_text").alias("target"), c("module").alias("module_tag"))
+    part = read(spark, d, "part")
+    terms = lambda n: part.filter(c("p_partkey") % n != 0).groupBy(F.substring("p_name", 1, 4).alias("term")).agg(F.min(F.substring("p_type", 1, n)).alias("target"))
+    return refresh(rows, terms(3), terms(4))["impacts"].select("string_id", F.concat_ws(",", "delta_types").alias("delta_types"), "action")
+
+
+@query()
+def plan_metrics(spark, d):
+    from ..plans.refresh import metrics
+
+    t = bound(spark, d, "trace")
+    rates = spark.createDataFrame([("m0", 0.4), ("m1", 2.0)], "model string, rate double")
+    return metrics(t.drop("req_chars", "resp_chars"), t, rates, 1.0)
+
+
+@query(cte("ui") + "SELECT string_id, CASE WHEN source_zh = '' THEN 'skipped_empty' ELSE 'ok' END AS status, CASE WHEN source_zh = '' THEN '' ELSE reverse(source_zh) END AS translated FROM ui")
+def z02_z03_translate(spark, d):
+    from ..functions.models import translate
+
+    return translate(bound(spark, d, "ui"), "string_id", "source_zh")
+
+
+@query(cte("ui") + "SELECT string_id, array_to_string(regexp_extract_all(source_zh, '[一-鿿]{2,}|[A-Za-z0-9._\\-+%]+'), ' ') AS words FROM ui")
+def z01_segment(spark, d):
+    from ..functions.models import segment
+
+    return bound(spark, d, "ui").select("string_id", F.concat_ws(" ", segment(c("source_zh"))).alias("words"))
+
+
+@query("SELECT time_bucket(INTERVAL '5 minutes', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def t02_tumbling(spark, d):
+    from ..streaming.state import tumbling
+
+    return tumbling(read(spark, d, "events"), "ts", "5 minutes", "1 hour", "event_type")
+
+
+@query("WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '6 hours' THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, count(*) AS n FROM s GROUP BY user_id, k")
+def t02_sessions(spark, d):
+    from ..streaming.state import sessions
+
+    return sessions(read(spark, d, "events"), "ts", "6 hours", "1 hour", "user_id").select("user_id", "n")
