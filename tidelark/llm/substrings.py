@@ -6,7 +6,7 @@ dealt in packed arrays, one row per pair of tasks, in one chain of stages:
 1. Every string of LEAST bytes picks the least-hashed of its K-byte grams.  Equal strings pick equal grams, so all
    copies of a string meet in the bucket of the gram's hash.  A run of strings with one gram is a *context*.
    Equal contexts are combined (within a slice first): only the least document's goes on, the others' bytes go.
-2. Different contexts of one gram can share a string only if they agree on 17 bytes left or right of the gram; those
+2. Different contexts of one gram can share a string only if they agree on ``SIDE`` bytes left or right of the gram; those
    are fetched from their documents and dealt to shards by gram.
 3. A shard lays its contexts end to end and sorts their suffixes by induced sorting; permuted common prefixes of LEAST
    or more join equal strings, and each join's least document keeps them.
@@ -22,6 +22,8 @@ a cut may split a character (``deduplicated`` drops what is left of it).
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 import pickle
 from collections.abc import Callable
@@ -35,10 +37,12 @@ from .common import slices
 from .langid import _bytes
 from .suffixes import permuted_lcp, suffix_array
 
-LEAST, K = 50, 16
+LEAST, K = 50, 12
 SIDE = (LEAST - K) // 2
 HOT = 1000
-BUCKET_BYTES, SLICE = 12 << 20, 1 << 20
+BUCKET_BYTES, SLICE = 8 << 20, 1 << 20
+#: Suffix-array shards per bucket: sorting needs some sixty bytes per letter.
+SHARDS = 4
 _POS = 28  # bits of a position in a slice
 _RECORD = np.dtype([("kh", "<u4"), ("kl", "<u2"), ("ch", "<u4"), ("cl", "<u2"), ("left", "<u2"), ("right", "<u2"), ("doc", "<u2"), ("at", "<i4"), ("n", "u1")])
 _SPAN = np.dtype([("rid", "<i8"), ("s", "<i4"), ("e", "<i4")])
@@ -85,6 +89,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ x >> np.uint64(32)
 
 
+def _hash_long(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """XXH64 of 8 bytes, as the SQL function xxhash64 chains it over longs."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, r: x << np.uint64(r) | x >> np.uint64(64 - r)
+    with np.errstate(over="ignore"):
+        h = seed + p5 + np.uint64(8)
+        h = turn(h ^ turn(value.view(np.uint64) * p2, 31) * p1, 27) * p1 + p4
+        h = (h ^ h >> np.uint64(33)) * p2
+        h = (h ^ h >> np.uint64(29)) * p3
+        return h ^ h >> np.uint64(32)
+
+
+def row_ids(doc: np.ndarray, crc: np.ndarray) -> np.ndarray:
+    """The SQL column xxhash64(doc, crc): a row's name by id and text."""
+    return _hash_long(crc.astype(np.int64), _hash_long(np.ascontiguousarray(doc, dtype=np.int64), np.uint64(42))).view(np.int64)
+
+
 def contexts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(records, gram hashes) of the texts data[offsets[i]:offsets[i + 1]]; record ``doc`` is i."""
     n = len(data)
@@ -166,6 +187,31 @@ def _split(array: np.ndarray, dest: np.ndarray, kind: int, more: Callable[[np.nd
     return out
 
 
+def _release() -> None:
+    """Give freed memory back to the system: workers stay, and what one group needed would stay with them."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def _grouped(f: Callable) -> Callable:
+    def run(table: pa.Table) -> pa.Table:
+        out = f(table)
+        _release()
+        return out
+
+    return run
+
+
+def _cogrouped(f: Callable) -> Callable:
+    def run(docs: pa.Table, table: pa.Table) -> pa.Table:
+        out = f(docs, table)
+        _release()
+        return out
+
+    return run
+
+
 def _table(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     d, k, x = zip(*rows) if rows else ((), (), ())
     return pa.table({"dest": pa.array(d, pa.int32()), "kind": pa.array(k, pa.int32()), "load": pa.array(x, pa.binary())})
@@ -205,7 +251,8 @@ def _deal(buckets: int):
                 records, key = contexts(data, offsets) if len(rows) else (np.zeros(0, _RECORD), np.zeros(0, np.uint64))
                 if not len(records):
                     continue
-                doc, rid = cut.column(1).to_numpy()[rows], cut.column(2).to_numpy()[rows]
+                doc, crc = cut.column(1).to_numpy()[rows], cut.column(2).to_numpy()[rows]
+                rid = row_ids(doc, crc)
                 mine = doc[records["doc"]]
                 order, _, least = _least((key, records["ch"], records["cl"]), mine)
                 gone = order[mine[order] > least]
@@ -213,12 +260,13 @@ def _deal(buckets: int):
                 spans = _merged(_spans(rid[records["doc"][gone]], records["at"][gone], records["n"][gone].astype(np.int64)))
                 out = _split(spans, np.full(len(spans), int(rid[0]) % buckets), SPANS)
 
-                def packed(i, records=records[kept], doc=doc, rid=rid):
+                def packed(i, records=records[kept], doc=doc, crc=crc):
                     used, inverse = np.unique(records["doc"][i], return_inverse=True)
-                    return doc[used], rid[used], _columns(records[i], inverse)
+                    return np.diff(doc[used], prepend=0), crc[used].astype(np.uint32), _columns(records[i], inverse)
 
                 out += _split(records, (key[kept] % np.uint64(buckets)).astype(np.int64), CONTEXTS, packed)
                 yield from _table(out).to_batches()
+            _release()
 
     return run
 
@@ -230,7 +278,8 @@ def _meet(buckets: int, most: int):
         spans, loads = _loads(table, SPANS), _loads(table, CONTEXTS)
         out = []
         if loads:
-            loads = [(d, i, _rows_of(r)) for d, i, r in loads]
+            loads = [(np.cumsum(d), i, _rows_of(r)) for d, i, r in loads]
+            loads = [(d, row_ids(d, i), r) for d, i, r in loads]
             doc = np.concatenate([d[r["doc"]] for d, _, r in loads])
             rid = np.concatenate([i[r["doc"]] for _, i, r in loads])
             records = np.concatenate([r for _, _, r in loads])
@@ -267,7 +316,7 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
-def _fetch(buckets: int):
+def _fetch(shards: int):
     """Stage 3a, on a bucket of documents: the contexts' bytes, dealt to shards by gram (or string by string)."""
 
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
@@ -290,14 +339,14 @@ def _fetch(buckets: int):
                 strings["at"] = at - np.repeat(offsets[:-1][own[hot]], n)
                 gone, kept = _strings(strings)
                 spans.append(gone)
-                out += _split(kept, (kept["hash"] % np.uint64(buckets)).astype(np.int64), STRINGS)
+                out += _split(kept, (kept["hash"] % np.uint64(shards)).astype(np.int64), STRINGS)
             cool = np.nonzero(~hot)[0]
             made = np.zeros(len(cool), _CONTEXT)
             for f in ("rid", "key", "at", "n"):
                 made[f] = reps[f][cool]
             made["doc"] = doc[own[cool]]
             begin, length = start[cool], size[cool]
-            out += _split(made, (made["key"] % np.uint64(buckets)).astype(np.int64), CONTEXTS, lambda i: (made[i], data[_ranges(begin[i], length[i])].tobytes()))
+            out += _split(made, (made["key"] % np.uint64(shards)).astype(np.int64), CONTEXTS, lambda i: (made[i], data[_ranges(begin[i], length[i])].tobytes()))
         spans = _merged(_joined(spans, _SPAN))
         return _table(out + _split(spans, np.full(len(spans), table["dest"][0].as_py() if table.num_rows else 0), SPANS))
 
@@ -375,12 +424,14 @@ def _repeats(docs: DataFrame, finish: Callable[[pa.Table, pa.Table], pa.Table],
     """Run all stages; ``docs`` has the columns id (long) and text and any others; ``finish`` makes the rows."""
     total = docs.select(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    keyed = docs.withColumns({"rid": F.xxhash64("id", "text"), "doc": F.coalesce(F.col("id"), F.lit((1 << 63) - 1))}).withColumn("dest", F.pmod("rid", F.lit(buckets)).cast("int"))
-    dealt = keyed.select("text", "doc", "rid").mapInArrow(_deal(buckets), _ROWS)
-    met = dealt.groupBy("dest").applyInArrow(_meet(buckets, most), _ROWS)
-    fetched = keyed.groupBy("dest").cogroup(met.groupBy("dest")).applyInArrow(_fetch(buckets), _ROWS)
-    spans = fetched.groupBy("dest").applyInArrow(_shard(buckets), _ROWS)
-    return keyed.groupBy("dest").cogroup(spans.groupBy("dest")).applyInArrow(finish, schema)
+    keyed = docs.withColumns({"doc": F.coalesce(F.col("id"), F.lit((1 << 63) - 1)), "crc": F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0))})
+    keyed = keyed.withColumn("rid", F.xxhash64("doc", "crc")).withColumn("dest", F.pmod("rid", F.lit(buckets)).cast("int"))
+    dealt = keyed.select("text", "doc", "crc").mapInArrow(_deal(buckets), _ROWS)
+    keyed = keyed.drop("crc")
+    met = dealt.groupBy("dest").applyInArrow(_grouped(_meet(buckets, most)), _ROWS)
+    fetched = keyed.groupBy("dest").cogroup(met.groupBy("dest")).applyInArrow(_cogrouped(_fetch(buckets * SHARDS)), _ROWS)
+    spans = fetched.groupBy("dest").applyInArrow(_grouped(_shard(buckets)), _ROWS)
+    return keyed.groupBy("dest").cogroup(spans.groupBy("dest")).applyInArrow(_cogrouped(finish), schema)
 
 
 def repeat_digests(docs: DataFrame, most: int = HOT) -> DataFrame:
