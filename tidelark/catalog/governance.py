@@ -33,7 +33,7 @@ def g01_apply_review(spark, d):
     return out.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-@query("WITH b AS (SELECT c_custkey AS k, c_name AS v FROM customer WHERE c_custkey < 1000), a AS (SELECT * FROM b UNION ALL SELECT s_suppkey + 950, s_name FROM supplier WHERE s_suppkey + 950 >= 1000), u AS (SELECT k, CASE WHEN k % 10 = 0 THEN 'new' ELSE v END AS v FROM a) SELECT * FROM u WHERE k % 7 <> 0")
+@query("WITH b AS (SELECT c_custkey AS k, c_name AS v FROM customer WHERE c_custkey < 1000), a AS (SELECT * FROM b UNION ALL SELECT s_suppkey + 950, s_name FROM supplier WHERE s_suppkey + 950 NOT IN (SELECT k FROM b)), u AS (SELECT k, CASE WHEN k % 10 = 0 THEN 'new' ELSE v END AS v FROM a) SELECT * FROM u WHERE k % 7 <> 0")
 def g02_patch(spark, d):
     cust = read(spark, d, "customer").select(c("c_custkey").alias("k"), c("c_name").alias("v"))
     base = cust.filter("k < 1000")
