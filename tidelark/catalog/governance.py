@@ -305,3 +305,45 @@ def t02_sessions(spark, d):
     from ..streaming.state import sessions
 
     return sessions(read(spark, d, "events"), "ts", "6 hours", "1 hour", "user_id").select("user_id", "n")
+
+
+_LINES = "WITH l AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN '## ' || role WHEN 1 THEN 'tone: ' || role WHEN 2 THEN '- [x] ' || role ELSE '- ' || role END AS t, role FROM conversations)"
+
+
+@query(_LINES + ", s AS (SELECT *, last_value(CASE WHEN turn % 4 = 0 THEN role END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section FROM l) SELECT conv_id, turn, section, CASE turn % 4 WHEN 1 THEN 'tone' WHEN 2 THEN 'choice' ELSE 'item' END AS key, role AS value, turn % 4 = 2 AS checked FROM s WHERE turn % 4 <> 0")
+def n14_questionnaire(spark, d):
+    from ..operators.scripts import parse_questionnaire
+
+    lines = read(spark, d, "conversations").selectExpr("conv_id", "turn", "CASE turn % 4 WHEN 0 THEN '## ' || role WHEN 1 THEN 'tone: ' || role WHEN 2 THEN '- [x] ' || role ELSE '- ' || role END AS t")
+    return parse_questionnaire(lines, "conv_id", "turn", "t")
+
+
+@query(_LINES + ", k AS (SELECT conv_id, bool_or(turn % 4 = 1) AS tone FROM l WHERE turn % 4 <> 0 GROUP BY conv_id) SELECT conv_id, 'audience' AS missing FROM k UNION ALL SELECT conv_id, 'tone' FROM k WHERE NOT tone")
+def n15_profile_issues(spark, d):
+    from ..operators.scripts import profile_issues
+
+    return profile_issues(n14_questionnaire(spark, d), "conv_id", ["tone", "audience"])
+
+
+@query("WITH a AS (SELECT doc_id FROM documents ORDER BY length(text) DESC, doc_id LIMIT 12), s AS (SELECT doc_id FROM documents WHERE length(text) BETWEEN 1 AND 6 AND doc_id NOT IN (SELECT * FROM a) ORDER BY length(text) DESC, doc_id LIMIT 72), m AS (SELECT doc_id FROM documents WHERE length(text) BETWEEN 20 AND 60 AND doc_id NOT IN (SELECT * FROM a) AND doc_id NOT IN (SELECT * FROM s) ORDER BY length(text) DESC, doc_id LIMIT 24), p AS (SELECT doc_id FROM documents WHERE lang = 'de' AND doc_id NOT IN (SELECT * FROM a) AND doc_id NOT IN (SELECT * FROM s) AND doc_id NOT IN (SELECT * FROM m) ORDER BY length(text) DESC, doc_id LIMIT 12) SELECT 'longest' AS bucket, doc_id FROM a UNION ALL SELECT 'short', doc_id FROM s UNION ALL SELECT 'middle', doc_id FROM m UNION ALL SELECT 'placeholder', doc_id FROM p")
+def n04_stress_template(spark, d):
+    from ..operators.scripts import stress_template
+
+    return stress_template(read(spark, d, "documents").select("doc_id", "lang", "text"), "doc_id", "text", c("lang") == "de").select("bucket", "doc_id")
+
+
+@query("SELECT c_custkey, CASE WHEN s_suppkey IS NOT NULL THEN s_nationkey ELSE c_nationkey END AS size, coalesce(CASE WHEN s_suppkey IS NOT NULL THEN s_nationkey ELSE c_nationkey END >= 10, false) AS qualified FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey")
+def n12_consolidated(spark, d):
+    from ..operators.scripts import consolidated
+
+    base = read(spark, d, "customer").select("c_custkey", c("c_nationkey").alias("size"))
+    return consolidated(base, read(spark, d, "supplier").select(c("s_suppkey").alias("c_custkey"), c("s_nationkey").alias("size")), "c_custkey", "size")
+
+
+@query(cte("trace") + "SELECT step, step || '.json' AS path, sum(latency_ms) AS latency_ms, round(sum(latency_ms / 1000.0::DOUBLE), 6) AS cost, CASE WHEN step = 'error' THEN 'FAIL' ELSE 'PASS' END AS status, false AS go FROM trace GROUP BY step")
+def n13_stress_report(spark, d):
+    from ..operators.scripts import stress_report
+
+    t = bound(spark, d, "trace").withColumn("cost", c("latency_ms") / 1000.0)
+    phases = t.select("step", F.concat("step", F.lit(".json")).alias("path")).distinct()
+    return stress_report(phases, phases.filter("step <> 'error'").select("path"), t, "step", "path").select("step", "path", "latency_ms", "cost", "status", "go")
