@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow slice handed to a kernel; bounds the memory of a worker on long texts.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +39,26 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(at, step)
 
 
+#: Rows and bytes of an Arrow batch, where the session has Spark's own defaults: texts are long rows.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of bounded memory in its session unless the session has set its own."""
+    conf = df.sparkSession.conf
+    for key, value in BATCH.items():
+        if conf.get(key, None) is None:  # Spark's default holds
+            conf.set(key, value)
+    return df
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers stay, and what one slice or group needed would stay with them."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_text(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch | dict], schema: str) -> DataFrame:
     """Apply ``kernel`` to bounded Arrow slices; it returns a dict of columns in the order of ``schema``."""
 
@@ -44,8 +66,10 @@ def map_text(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch |
         for part in slices(batches):
             out = kernel(part)
             yield out if isinstance(out, pa.RecordBatch) else pa.RecordBatch.from_pydict(out)
+            del part, out
+            release()
 
-    return df.mapInArrow(run, schema)
+    return bounded(df).mapInArrow(run, schema)
 
 
 def crc_mod(column: str, n: int) -> F.Column:

@@ -21,12 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import bounded, release, slices
 from .langid import _bytes
 
 WINDOW = 10
 CHUNK_BYTES = 8 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 SAMPLE_EVERY = 8
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -238,7 +238,7 @@ def _spans(flags: np.ndarray, words: Words, lo: int, hi: int, base: int) -> np.n
 
 def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", id_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` with _n_words (long), _hits (packed words hit), _items (array of item ids), _spans (array of byte spans)."""
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     own = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _n_words long, _hits binary, _items array<string>, _spans array<array<long>>"
     place = own.index(text_col)
@@ -278,6 +278,9 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
                 out = [part.column(i) for i in range(len(own))]
                 out += [pa.array(n_words), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int64())))]
                 yield pa.RecordBatch.from_arrays(out, names=[*own, "_n_words", "_hits", "_items", "_spans"])
+                del part, column, data, out
+                words = cover = flags = None
+                release()
 
         return run
 

@@ -21,9 +21,9 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import bounded, crc_mod, release
 
-ORDER, SYMBOLS, PER_LANG = 3, 48, 1500
+ORDER, SYMBOLS, PER_LANG = 3, 40, 1500
 #: Bits by which a rival code must be longer for the score to halve its odds once.
 SOFTEN = 4.0
 PIECE = 4 << 20
@@ -93,7 +93,7 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS, per_lang: int = PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
     """Counts of the bounded sample: (langs, symbol_of, symbols, grams), or None without training rows."""
-    keyed = docs.filter(docs[lang_col].isNotNull() & docs[text_col].isNotNull()).select(docs[lang_col].alias("lang"), F.xxhash64(docs[id_col]).alias("h"), docs[text_col].alias("text"))
+    keyed = bounded(docs).filter(docs[lang_col].isNotNull() & docs[text_col].isNotNull()).select(docs[lang_col].alias("lang"), F.xxhash64(docs[id_col]).alias("h"), docs[text_col].alias("text"))
     rows = keyed.groupBy("lang").count().collect()  # a row a language
     if not rows:
         return None
@@ -109,6 +109,7 @@ def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS, per_lang:
             data, _, _ = _bytes(b.column(1))
             total += np.bincount(fold[data], minlength=256)
         yield pa.RecordBatch.from_pydict({"byte": pa.array(range(256), pa.int32()), "n": pa.array(total)})
+        release()
 
     seen = sample.select("lang", "text").mapInArrow(histogram, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
     by_use = sorted((r for r in seen if r["n"]), key=lambda r: (-r["n"], r["byte"]))[: symbols - 1]
@@ -124,7 +125,7 @@ def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS, per_lang:
                 part = b.filter(pa.compute.equal(b.column(0), lang))
                 data, offsets, rows = _bytes(part.column(1))
                 if len(rows):
-                    codes = np.bincount(gram_codes(symbol_of[data], offsets, symbols, order))
+                    codes = np.bincount(gram_codes(symbol_of[data], offsets, symbols, order)).astype(np.int32)
                     if lang in got and len(got[lang]) >= len(codes):
                         got[lang][: len(codes)] += codes
                     else:
@@ -134,6 +135,8 @@ def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS, per_lang:
         for lang, codes in got.items():
             at = np.nonzero(codes)[0]
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at), pa.string()), "code": pa.array(at, pa.int32()), "n": pa.array(codes[at], pa.int64())})
+        got.clear()
+        release()
 
 
     table = sample.select("lang", "text").mapInArrow(counted, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
@@ -186,8 +189,9 @@ def identify(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "te
 
         for part in slices(batches, limit=PIECE):
             yield pa.RecordBatch.from_pydict(kernel(part))
+            release()
 
-    return docs.select(docs[text_col].alias("text"), docs[id_col], *[docs[c] for c in keep]).mapInArrow(run, schema)
+    return bounded(docs).select(docs[text_col].alias("text"), docs[id_col], *[docs[c] for c in keep]).mapInArrow(run, schema)
 
 
 def language_ids(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from .common import map_text
 MARK = "▁"
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*")
 #: Memo entries and the longest stretch kept by one worker; a full memo is emptied, which never changes a result.
-MEMO, MEMO_CHARS = 300_000, 64
+MEMO, MEMO_CHARS = 150_000, 64
 #: Texts whose new stretches the library encodes in one call.
 GROUP = 256
 

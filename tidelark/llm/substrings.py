@@ -22,8 +22,6 @@ a cut may split a character (``deduplicated`` drops what is left of it).
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import hashlib
 import pickle
 from collections.abc import Callable
@@ -33,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import bounded, release, slices
 from .langid import _bytes
 from .suffixes import permuted_lcp, suffix_array
 
@@ -187,17 +185,10 @@ def _split(array: np.ndarray, dest: np.ndarray, kind: int, more: Callable[[np.nd
     return out
 
 
-def _release() -> None:
-    """Give freed memory back to the system: workers stay, and what one group needed would stay with them."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # another C library
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-
-
 def _grouped(f: Callable) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         out = f(table)
-        _release()
+        release()
         return out
 
     return run
@@ -206,7 +197,7 @@ def _grouped(f: Callable) -> Callable:
 def _cogrouped(f: Callable) -> Callable:
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         out = f(docs, table)
-        _release()
+        release()
         return out
 
     return run
@@ -266,7 +257,7 @@ def _deal(buckets: int):
 
                 out += _split(records, (key[kept] % np.uint64(buckets)).astype(np.int64), CONTEXTS, packed)
                 yield from _table(out).to_batches()
-            _release()
+            release()
 
     return run
 
@@ -422,7 +413,7 @@ def _kept(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def _repeats(docs: DataFrame, finish: Callable[[pa.Table, pa.Table], pa.Table], schema: str, most: int = HOT) -> DataFrame:
     """Run all stages; ``docs`` has the columns id (long) and text and any others; ``finish`` makes the rows."""
-    total = docs.select(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    total = bounded(docs).select(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
     keyed = docs.withColumns({"doc": F.coalesce(F.col("id"), F.lit((1 << 63) - 1)), "crc": F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0))})
     keyed = keyed.withColumn("rid", F.xxhash64("doc", "crc")).withColumn("dest", F.pmod("rid", F.lit(buckets)).cast("int"))
