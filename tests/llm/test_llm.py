@@ -214,6 +214,40 @@ def test_simhash_components(spark, monkeypatch, block):
     assert {r["doc_id"] for r in kept} == {x[2] for x in got} and len(kept) == len({x[2] for x in got})
 
 
+@pytest.mark.parametrize("block", [2048, 16])
+def test_near_dedup_takes_copies_of_four_fifths(spark, monkeypatch, block):
+    import corpus_pipeline
+    from tidelark.llm import nearcopies
+
+    monkeypatch.setattr(nearcopies, "BLOCK", block)
+    rng = random.Random(6)
+    fresh = iter(range(10**6))
+    texts = [" ".join(f"v{next(fresh)}" for _ in range(rng.choice([60, 140, 300]))) for _ in range(60)]
+    planted = 0
+    for t in texts[:60]:
+        for edits in (1, 2, 3, 4):
+            w = t.split()
+            for at in rng.sample(range(len(w)), edits):
+                w[at] = f"v{next(fresh)}"
+            texts.append(" ".join(w))
+    # a large group: copies of one text that are not all copies of one another
+    texts += [" ".join(w[:i] + [f"v{next(fresh)}"] + w[i + 1 :]) for w in [texts[0].split()] for i in range(len(w))]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for t in texts for w in [t.split()]]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            share = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            if share >= 0.8:
+                planted += share < 0.95
+                a, b = group[i], group[j]
+                group = [min(a, b) if g == max(a, b) else g for g in group]
+    assert planted > 100 and len(set(group)) > 60
+    got = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs(spark, texts), "").select("doc_id").collect()]
+    assert sorted(got) == sorted(set(group))
+    odd = docs(spark, [*ODD, "a", "some words of a text here"])
+    assert nearcopies.one_per_group(odd).count() == len(ODD) - 3 + 1 and nearcopies.one_per_group(odd.limit(0)).count() == 0
+
+
 # -- op4 --------------------------------------------------------------------------------------------------------------
 
 
