@@ -391,6 +391,25 @@ def test_piece_codec_is_the_librarys(spark, odd_texts):
         assert r["starts"] == sorted(r["starts"]) and b"".join(raw[s:e] for s, e in zip(r["starts"], r["ends"])) == raw
 
 
+def test_digests_cover_the_source_spans(spark, odd_texts, monkeypatch):
+    from tidelark.llm.piece_codec import PieceCodec, default_path, encode_digests, encode_pieces
+
+    texts = [*odd_texts, "▁a ▁ b▁▁c  d ", " lead", "▁", "^a ^b"]
+    want = {r["doc_id"]: r for r in encode_pieces(docs(spark, texts)).collect()}
+    for r in encode_digests(docs(spark, texts)).collect():
+        w = want[r["doc_id"]]
+        assert r["n_tokens"] == len(w["ids"]) and r["ids_sha256"] == hashlib.sha256(" ".join(map(str, w["ids"])).encode()).hexdigest()
+        assert r["spans_sha256"] == hashlib.sha256(np.array([*w["starts"], *w["ends"]], dtype="<i8").tobytes()).hexdigest()
+    # a model with a character map goes through the longest-prefix matching
+    codec, met = PieceCodec(default_path()), []
+    longest = type("Map", (), {"longest": lambda self, data, at: met.append(at)})()
+    monkeypatch.setattr(codec, "char_map", longest)
+    whole = codec.round_trips(["some text"])[0]
+    codec.apart = False
+    again = codec.round_trips(["some text"])[0]
+    assert met and whole[:3] == again[:3] and whole.starts.tolist() == again.starts.tolist() and whole.ends.tolist() == again.ends.tolist()
+
+
 def test_longest_prefix_of_a_character_map():
     import struct
 

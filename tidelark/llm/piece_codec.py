@@ -3,8 +3,8 @@
 Text is normalised by longest-prefix matching through the model's compiled character map (a double-array trie over
 UTF-8 bytes), and every normalised byte remembers the source bytes it came from; so each piece projects back to a
 span of original bytes.  When no piece of the vocabulary holds a word-start mark after another character, merges
-never cross such a mark and the normalised text is encoded mark by mark, with a memo of stretches met before; the
-library encodes each stretch.  Other vocabularies are encoded whole.
+never cross such a mark and the text is encoded and aligned mark by mark, with a memo of stretches met before; the
+library encodes each stretch.  Other vocabularies are encoded and aligned whole.
 
 Defined results: null text counts as empty (the end id alone, decoded to the empty text); repeated rows give repeated
 rows; an empty table gives an empty result.
@@ -17,6 +17,7 @@ import re
 import struct
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -24,6 +25,8 @@ from .common import map_text
 
 MARK = "▁"
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*")
+#: Stretches as the source has them; the first has no mark of its own.
+_SOURCE = re.compile(f"[ {MARK}]+[^ {MARK}]*|[^ {MARK}]+")
 #: Memo entries and the longest stretch kept by one worker; a full memo is emptied, which never changes a result.
 MEMO, MEMO_CHARS = 150_000, 64
 #: Texts whose new stretches the library encodes in one call.
@@ -36,6 +39,16 @@ class Encoded(NamedTuple):
     ends: list[int]
 
 
+class Trip(NamedTuple):
+    """Ids with the end id, said in decimals; the decoded text; source byte spans, the end id's (empty) included."""
+
+    n: int
+    said: str
+    made: str
+    starts: np.ndarray
+    ends: np.ndarray
+
+
 class CharMap:
     """Longest-prefix replacement through a compiled character map."""
 
@@ -91,16 +104,21 @@ class PieceCodec:
         self.norm = norm
         self.byte_ids = frozenset(i for i in range(len(pieces)) if pieces[i].type in (pieces[i].BYTE, pieces[i].UNKNOWN, pieces[i].CONTROL))
         self._ids: dict[str, list[int]] = {}
-        self._text: dict[str, tuple[int, str, str]] = {}
+        self._text: dict[str, tuple[int, str, str, bytes, bytes, int]] = {}
+        #: Normalised bytes of each piece; an unknown piece is one character.
+        self.sizes = [0 if p.type == p.UNKNOWN else 1 if p.type == p.BYTE else len(p.piece.encode()) for p in pieces]
 
     # -- normalisation ------------------------------------------------------------------------------------------
 
-    def normalise(self, text: str) -> tuple[bytes, list[int]]:
-        """Normalised bytes (marks for spaces, start mark included) and, for each and the end, its source byte."""
+    def normalise(self, text: str, start: bool = True) -> tuple[bytes, list[int]]:
+        """Normalised bytes (marks for spaces, start mark included) and, for each and the end, its source byte.
+
+        Without ``start``, the text continues another and gets no start mark.
+        """
         data = text.encode()
         mark = MARK.encode()
         out, source = bytearray(), []
-        if self.norm.add_dummy_prefix and data:
+        if start and self.norm.add_dummy_prefix and data:
             out += mark
             source += [0] * len(mark)
         at = 0
@@ -144,52 +162,70 @@ class PieceCodec:
 
     def encode(self, text: str) -> Encoded:
         """Ids without the end id, and the source byte span of each (an inserted mark has an empty span at 0)."""
-        ids = self.encode_ids(text)
-        made, source = self.normalise(text)
+        return self.align(self.encode_ids(text), text)
+
+    def align(self, ids: list[int], text: str, start: bool = True) -> Encoded:
+        """The ids of a text with the source byte span of each, through the normalised text."""
+        made, source = self.normalise(text, start)
         starts, ends, at = [], [], 0
         for i in ids:
-            piece = self.library.id_to_piece(i)
-            size = 1 if self.library.is_byte(i) else len(piece.encode())
-            if self.library.is_unknown(i):  # one character of the normalised text
+            size = self.sizes[i]
+            if not size:  # unknown: one character of the normalised text
                 b = made[at]
                 size = 1 if b < 0x80 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4
             starts.append(source[at])
             at += size
             ends.append(source[at])
+        if at != len(made):
+            raise ValueError(f"pieces of {at} bytes for a normalised text of {len(made)}")
         return Encoded(ids, starts, ends)
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode([i for i in ids if i != self.end_id])
 
-    def round_trips(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """Per text: number of ids with the end id, their decimals joined by spaces, the decoded text."""
-        end = str(self.end_id)
+    def round_trips(self, texts: list[str]) -> list[Trip]:
+        """Each text encoded with its source spans, and decoded."""
+        end = self.end_id
         if not self.apart:
-            all_ids = [[*ids, self.end_id] for ids in self.library.encode(texts, num_threads=1)]
-            return [(len(ids), " ".join(map(str, ids)), made) for ids, made in zip(all_ids, self.library.decode(all_ids))]
+            found = []
+            for text in texts:
+                e, n = self.encode(text), len(text.encode())
+                found.append(Trip(len(e.ids) + 1, " ".join(map(str, [*e.ids, end])), self.decode(e.ids), np.array([*e.starts, n]), np.array([*e.ends, n])))
+            return found
         memo = self._text
         if len(memo) > MEMO:
             memo.clear()
-        parts = [self.stretches(t) for t in texts]
+        # "^" leads a text's first stretch, whose mark isn't in the source; all others begin with a space or a mark
+        parts = [_SOURCE.findall(t) for t in texts]
+        for p in parts:
+            if p:
+                p[0] = "^" + p[0]
         missing = [s for s in dict.fromkeys(s for p in parts for s in p) if s not in memo]
         for s, ids in zip(missing, self.library.encode([s[1:] for s in missing], num_threads=1) if missing else ()):
             ids = ids or [self.mark_id]
+            first = s[0] == "^"
+            source = s[1:] if first else s
+            e = self.align(ids, source, first)
             # decoding drops one leading mark, which every stretch has; pieces that aren't bytes spell the stretch
             plain = self.byte_ids.isdisjoint(ids)
-            memo[s] = len(ids), " ".join(map(str, ids)), s.replace(MARK, " ") if plain else " " + self.library.decode(ids)
+            made = " " + (s[1:].replace(MARK, " ") if plain else self.library.decode(ids))
+            memo[s] = len(ids), " ".join(map(str, ids)), made, np.array(e.starts).tobytes(), np.array(e.ends).tobytes(), len(source.encode())
         out = []
         for p in parts:
             if p:
-                n, said, made = zip(*map(memo.__getitem__, p))
-                out.append((sum(n) + 1, f"{' '.join(said)} {end}", "".join(made)[1:]))
+                n, said, made, starts, ends, sizes = zip(*map(memo.__getitem__, p))
+                after = np.cumsum(sizes)
+                before = np.repeat(after - sizes, n)
+                spans = [np.append(np.frombuffer(b"".join(x), dtype=np.int64) + before, after[-1]) for x in (starts, ends)]
+                out.append(Trip(sum(n) + 1, f"{' '.join(said)} {end}", "".join(made)[1:], *spans))
             else:
-                out.append((1, end, ""))
+                out.append(Trip(1, str(end), "", np.zeros(1, np.int64), np.zeros(1, np.int64)))
         for s in missing:
             if len(s) > MEMO_CHARS:
                 del memo[s]
         return out
 
-    def round_trip(self, text: str) -> tuple[int, str, str]:
+    def round_trip(self, text: str) -> Trip:
         return self.round_trips([text])[0]
 
 
@@ -200,24 +236,28 @@ def _codec(held: list[PieceCodec], path: str | None) -> PieceCodec:
 
 
 def encode_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, round_trip (decoded equals the text)."""
+    """One row per document: id, n_tokens, ids_sha256, decoded_sha256, round_trip (decoded equals the text), spans_sha256.
+
+    The last is of the pieces' source spans: all starts, then all ends, as little-endian 64-bit integers.
+    """
     held: list[PieceCodec] = []
 
     def kernel(part: pa.RecordBatch) -> dict:
         codec = _codec(held, path)
-        n_tokens, ids_sha, text_sha, same = [], [], [], []
+        n_tokens, ids_sha, text_sha, same, spans_sha = [], [], [], [], []
         texts = [t or "" for t in part.column(1).to_pylist()]
         for at in range(0, len(texts), GROUP):
             group = texts[at : at + GROUP]
-            for text, (n, said, made) in zip(group, codec.round_trips(group)):
-                n_tokens.append(n)
-                ids_sha.append(hashlib.sha256(said.encode()).hexdigest())
-                text_sha.append(hashlib.sha256(made.encode()).hexdigest())
-                same.append(made == text)
-        return {id_col: part.column(0), "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string()), "round_trip": pa.array(same, pa.bool_())}
+            for text, trip in zip(group, codec.round_trips(group)):
+                n_tokens.append(trip.n)
+                ids_sha.append(hashlib.sha256(trip.said.encode()).hexdigest())
+                text_sha.append(hashlib.sha256(trip.made.encode()).hexdigest())
+                same.append(trip.made == text)
+                spans_sha.append(hashlib.sha256(np.concatenate([trip.starts, trip.ends]).astype("<i8").tobytes()).hexdigest())
+        return {id_col: part.column(0), "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string()), "round_trip": pa.array(same, pa.bool_()), "spans_sha256": pa.array(spans_sha, pa.string())}
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_text(docs.select(docs[id_col], docs[text_col].alias("text")), kernel, f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean")
+    return map_text(docs.select(docs[id_col], docs[text_col].alias("text")), kernel, f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean, spans_sha256 string")
 
 
 def encode_pieces(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
