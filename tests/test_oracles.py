@@ -25,3 +25,10 @@ def test_query(spark, duck, name):
 
 def test_flagship_has_rows(spark):
     assert flagship(spark, SF).count() > 0
+
+
+def test_patch_takes_the_whole_table(spark, duck):
+    rows = {r["k"]: r["v"] for r in QUERIES["g02_patch_table"](spark, SF).collect()}
+    keys = {k for (k,) in duck.execute("SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0").fetchall()}
+    suppliers = duck.execute("SELECT count(*) FROM supplier").fetchone()[0]
+    assert keys <= set(rows) and 0 < sum(k not in keys for k in rows) < suppliers

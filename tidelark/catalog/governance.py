@@ -42,6 +42,21 @@ def g02_patch(spark, d):
     return G.patch_remove(updated, cust.filter("k % 7 = 0").union(read(spark, d, "supplier").filter("(s_suppkey + 950) % 7 = 0").select(c("s_suppkey") + 950, "s_name")), "k")
 
 
+_OFFSET = "(SELECT (SELECT max(c_custkey) FROM customer) - (SELECT count(*) FROM supplier) // 2)"
+
+
+@query(f"WITH b AS (SELECT c_custkey AS k, c_name AS v FROM customer), s AS (SELECT s_suppkey + {_OFFSET} AS k, s_name AS v FROM supplier), a AS (SELECT * FROM b UNION ALL SELECT * FROM s WHERE k NOT IN (SELECT k FROM b)), u AS (SELECT k, CASE WHEN k % 10 = 0 THEN 'new' ELSE v END AS v FROM a) SELECT * FROM u WHERE k % 7 <> 0")
+def g02_patch_table(spark, d):
+    """The whole customer table, with suppliers of which about half have a customer's key."""
+    base = read(spark, d, "customer").select(c("c_custkey").alias("k"), c("c_name").alias("v"))
+    supplier = read(spark, d, "supplier")
+    offset = base.agg(F.max("k").alias("top")).crossJoin(supplier.agg(F.floor(F.count("*") / 2).alias("half"))).select((c("top") - c("half")).alias("o"))
+    extra = supplier.crossJoin(F.broadcast(offset)).select((c("s_suppkey") + c("o")).alias("k"), c("s_name").alias("v"))
+    added = G.patch_append(base, extra, ["k"])
+    updated = G.patch_update(added, added.filter("k % 10 = 0").select("k", F.lit("new").alias("v")), "k")
+    return G.patch_remove(updated, base.union(extra).filter("k % 7 = 0"), "k")
+
+
 @query(cte("glossary") + "SELECT seq FROM glossary WHERE status = 'proposed' AND confidence >= 0.9")
 def g03_auto_approve(spark, d):
     return G.auto_approve(bound(spark, d, "glossary").filter("status = 'proposed'"), "confidence").select("seq")
