@@ -32,3 +32,11 @@ def test_patch_takes_the_whole_table(spark, duck):
     keys = {k for (k,) in duck.execute("SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0").fetchall()}
     suppliers = duck.execute("SELECT count(*) FROM supplier").fetchone()[0]
     assert keys <= set(rows) and 0 < sum(k not in keys for k in rows) < suppliers
+
+
+def test_every_customer_can_reject_a_pair(spark, duck):
+    kept = {r["s_suppkey"] for r in QUERIES["j14_rejected_pairs_table"](spark, "/root/testdata/sf0.1").collect()}
+    big = oracle.connection("/root/testdata/sf0.1")
+    n = big.execute("SELECT count(*) FROM supplier").fetchone()[0]
+    late = {k for (k,) in big.execute(f"SELECT s_suppkey FROM supplier JOIN customer ON s_nationkey = c_nationkey AND s_suppkey % {n} = c_custkey % {n} WHERE c_mktsegment = 'MACHINERY' AND c_custkey >= 200").fetchall()}
+    assert late and kept and not kept & late

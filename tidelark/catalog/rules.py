@@ -186,6 +186,16 @@ def j14_rejected_pairs(spark, d):
     return left.join(right, ["n", "m"], "left_anti").select("s_suppkey", c("n").alias("s_nationkey"))
 
 
+@query("WITH n AS (SELECT count(*) AS n FROM supplier) SELECT s_suppkey, s_nationkey FROM supplier, n WHERE (s_nationkey, s_suppkey % n) NOT IN (SELECT c_nationkey, c_custkey % n FROM customer, n WHERE c_mktsegment = 'MACHINERY')")
+def j14_rejected_pairs_table(spark, d):
+    """Every MACHINERY customer can reject; keys modulo the number of suppliers leave both outcomes at every size."""
+    supplier = read(spark, d, "supplier")
+    n = F.broadcast(supplier.agg(F.count("*").alias("of")))
+    left = supplier.crossJoin(n).withColumn("m", c("s_suppkey") % c("of")).withColumnRenamed("s_nationkey", "n")
+    right = read(spark, d, "customer").filter("c_mktsegment = 'MACHINERY'").crossJoin(n).select(c("c_nationkey").alias("n"), (c("c_custkey") % c("of")).alias("m"))
+    return left.join(right, ["n", "m"], "left_anti").select("s_suppkey", c("n").alias("s_nationkey"))
+
+
 @query(cte("glossary") + "SELECT seq FROM glossary p WHERE status = 'proposed' AND NOT EXISTS (SELECT 1 FROM glossary a WHERE a.status = 'approved' AND a.scope = 'project' AND a.term = p.term AND a.target <> p.target)")
 def j15_approved_conflict(spark, d):
     g = bound(spark, d, "glossary")
