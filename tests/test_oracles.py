@@ -40,3 +40,10 @@ def test_every_customer_can_reject_a_pair(spark, duck):
     n = big.execute("SELECT count(*) FROM supplier").fetchone()[0]
     late = {k for (k,) in big.execute(f"SELECT s_suppkey FROM supplier JOIN customer ON s_nationkey = c_nationkey AND s_suppkey % {n} = c_custkey % {n} WHERE c_mktsegment = 'MACHINERY' AND c_custkey >= 200").fetchall()}
     assert late and kept and not kept & late
+
+
+def test_normalised_join_compares_whole_texts(spark, tmp_path):
+    spark.createDataFrame([(1, " alpha  beta"), (2, "alpha gamma"), (3, "al")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(7, "alpha beta"), (8, "alphabet")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = sorted(map(tuple, QUERIES["j28_normalised_join_whole"](spark, str(tmp_path)).collect()))
+    assert got == [(-9, 8), (-8, 7), (1, 7)]

@@ -252,6 +252,14 @@ def j28_normalised_join(spark, d):
     return read(spark, d, "documents").select("doc_id", key("text").alias("k")).join(read(spark, d, "benchmark").select("item_id", key("text").alias("k")), "k").select("doc_id", "item_id")
 
 
+@query("WITH s AS (SELECT doc_id AS id, text FROM documents UNION ALL SELECT -1 - item_id, replace(text, ' ', '  ') FROM benchmark) SELECT id, item_id FROM s JOIN benchmark ON regexp_replace(coalesce(s.text, ''), '\\s+', '', 'g') = regexp_replace(coalesce(benchmark.text, ''), '\\s+', '', 'g')")
+def j28_normalised_join_whole(spark, d):
+    """Whole texts: documents, and items spaced otherwise (with negative ids), against the items."""
+    items = read(spark, d, "benchmark").select("item_id", "text")
+    texts = read(spark, d, "documents").select(c("doc_id").alias("id"), "text").union(items.select(-1 - c("item_id"), F.replace("text", F.lit(" "), F.lit("  "))))
+    return texts.select("id", strip_spaces(c("text")).alias("k")).join(items.select("item_id", strip_spaces(c("text")).alias("k")), "k").select("id", "item_id")
+
+
 @query(cte("tickets", "stages") + ", s AS (SELECT run_id, count(*) AS stages FROM stages GROUP BY 1), t AS (SELECT run_id, count(*) AS tickets FROM tickets GROUP BY 1) SELECT s.run_id, stages, coalesce(tickets, 0) AS tickets FROM s LEFT JOIN t USING (run_id)")
 def j29_run_join(spark, d):
     s = bound(spark, d, "stages").groupBy("run_id").agg(F.count("*").alias("stages"))
