@@ -283,6 +283,25 @@ def test_repeated_passages(spark, monkeypatch, most):
     assert sorted(map(tuple, got.collect()), key=str) == _repeats(rows)
 
 
+def test_passages_of_frequent_grams_and_long_texts(spark, monkeypatch):
+    """A line that every document has is dealt string by string from the start; a text of over SLICE bytes is read in pieces."""
+    from tidelark.llm import substrings
+
+    monkeypatch.setattr(substrings, "SAMPLE_OF", 1)
+    monkeypatch.setattr(substrings, "SEEN", 20)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 50_000)
+    rng = random.Random(9)
+    make = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    line = "All rights reserved; see the licence of this work for what you may do with it."
+    rows = [(i, make(rng.randint(0, 60)) + line + make(rng.randint(0, 60))) for i in range(120)]
+    long = make(substrings.SLICE + 5000)
+    rows += [(500, long[: substrings.SLICE - 30]), (400, long), (600, long[substrings.SLICE - 200 : substrings.SLICE + 200]), (None, line)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = d.select("text", F.col("doc_id").alias("doc"))
+    assert len(substrings.frequent_grams(keyed))
+    assert sorted(map(tuple, substrings.repeat_digests(d).collect()), key=str) == _repeats(rows)
+
+
 def test_suffix_arrays(monkeypatch):
     from tidelark.llm import suffixes
 
