@@ -396,6 +396,29 @@ def test_token_counts_are_the_librarys(spark, odd_texts):
     assert row["over_limit"] and bpe.count(long[: row["fit_chars"]]) <= 2048 < bpe.count(long[: row["fit_chars"] + 6])
 
 
+def test_prefixes_that_fit_a_budget(spark, odd_texts):
+    """In any script, and for long texts: the longest prefix that ends with a word and holds the budget."""
+    from tidelark.llm.token_counts import PrefixBpe, default_path, token_counts
+
+    bpe = PrefixBpe(default_path())
+    count = lambda t: len(bpe.library.encode(t, add_special_tokens=False).ids)
+    for t in [*odd_texts[:200:7], "日本 hello world " * 40, "Ελλάδα и мир cafe\u0301 İs " * 30]:
+        table = bpe.table(t)
+        assert table.total == count(t)
+        for budget in (0, 1, 7, 40):
+            p = table.fit(budget)
+            assert p == bpe.table(t, budget).fit(budget) and count(t[:p]) <= budget
+            after = next((e for e in table.ends if e > p), None)
+            assert p == len(t) or after is None or count(t[:after]) > budget
+    long = "日 hello мир word, " * 50_000  # 1.2 MB
+    text = long + "xyz" * 10_000
+    rows = {r["doc_id"]: r for r in token_counts(docs(spark, [long, text])).collect()}
+    for i, t in enumerate([long, text]):
+        p = rows[i]["fit_chars"]
+        assert rows[i]["n_bytes"] == len(t.encode()) and count(t[:p]) <= 2048 < count(t[: p + 12])
+    assert rows[0]["n_tokens"] == count(long)
+
+
 def test_piece_codec_is_the_librarys(spark, odd_texts):
     from tidelark.llm.piece_codec import PieceCodec, default_path, encode_digests, encode_pieces
 

@@ -4,8 +4,9 @@ Byte-pair encoding has an optimal-substructure form: the encoding of a symbol pr
 ``t`` such that the encoding of what precedes it ends in a token compatible with ``t`` (the two, joined and
 encoded afresh, split back into the same two).  So one left-to-right pass stores, for every prefix of a word, its
 last token and its token count; the end-of-word variant of any prefix is one more step from the stored states.
-A text's table is the running sum over its words, and answers "how many tokens has text[:p]" and "which prefix
-fits a budget" without encoding anything again.
+A text's table is the running sum over its words, with their places in the source (of any script), and answers "how
+many tokens has text[:p]" and "which prefix fits a budget" without encoding anything again.  Workers keep their tables
+by path.
 
 Defined results: null text counts as empty (0 bytes, 0 tokens); repeated rows give repeated rows; an empty table
 gives an empty result; extra columns are ignored by the query and never read.
@@ -14,9 +15,10 @@ gives an empty result; extra columns are ignored by the query and never read.
 from __future__ import annotations
 
 import bisect
+import functools
 import json
 import re
-from itertools import accumulate
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +32,10 @@ _L, _N = "a-zªµºß-öø-ž", "0-9²³¹¼-¾"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\\s{_L}{_N}]+")
 #: Memo entries kept by one worker; a full memo is emptied, which costs time and never changes a count.
 MEMO = 400_000
+#: Symbols from which on a word's states are kept by place for the time being, and not by prefix.
+LONG = 256
+#: Characters of a long text whose words are looked up at a time.
+STRETCH = 1 << 14
 
 
 def _byte_alphabet() -> list[str]:
@@ -130,14 +136,40 @@ class PrefixBpe:
         for i in range(known + 1, upto + 1):
             state[word[:i]] = self._step(word, i, "")
 
+    def _walk(self, word: str) -> list[tuple[str, int]]:
+        """Last token and count of every prefix of a long word, by place: nothing of it is kept."""
+        vocab, found = self.vocab, [("", 0)]
+        for i in range(1, len(word)):
+            for start in range(max(0, i - self.longest), i):
+                token = word[start:i]
+                if token in vocab and self._is_solid(token) and (not start or self._fits(found[start][0], token)):
+                    found.append((token, found[start][1] + 1))
+                    break
+            else:
+                raise ValueError(f"no token ends a prefix of {i} symbols")
+        return found
+
+    def _closed(self, word: str, found: list[tuple[str, int]], i: int) -> int:
+        """Tokens of word[:i] as a word of its own, from the states of its prefixes."""
+        for start in range(max(0, i - self.longest), i):
+            token = word[start:i] + self.END
+            if token in self.vocab and self._is_solid(token) and (not start or self._fits(found[start][0], token)):
+                return found[start][1] + 1
+        raise ValueError(f"no token ends a word of {i} symbols")
+
     def levelled_counts(self, word: str) -> list[int]:
         """Tokens of every prefix (1..n symbols) of a word in the byte alphabet, each taken as a word of its own."""
+        if len(word) > LONG:
+            found = self._walk(word)
+            return [self._closed(word, found, i) for i in range(1, len(word) + 1)]
         if len(self._state) > MEMO:
             self._state.clear()
         self._fill(word, len(word) - 1)
         return [self._step(word, i, self.END)[1] for i in range(1, len(word) + 1)]
 
     def _count_levelled(self, word: str) -> int:
+        if len(word) > LONG:
+            return self._closed(word, self._walk(word), len(word))
         n = self._levelled.get(word)
         if n is None:
             if len(self._levelled) > MEMO:
@@ -151,13 +183,16 @@ class PrefixBpe:
     def count_word(self, word: str) -> int:
         n = self._word.get(word)
         if n is None:
+            levelled = "".join(map(self.alphabet.__getitem__, word.encode()))
+            if len(word) > LONG:
+                return self._count_levelled(levelled)
             if len(self._word) > MEMO:
                 self._word.clear()
-            n = self._word[word] = self._count_levelled("".join(map(self.alphabet.__getitem__, word.encode())))
+            n = self._word[word] = self._count_levelled(levelled)
         return n
 
-    def table(self, text: str) -> PrefixTable:
-        return PrefixTable(self, text)
+    def table(self, text: str, budget: int | None = None) -> PrefixTable:
+        return PrefixTable(self, text, budget)
 
     def count(self, text: str) -> int:
         return sum(n for _, _, n in self._segments(text))
@@ -180,28 +215,70 @@ class PrefixBpe:
         return [self._count_levelled(w) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
 
 
+    def words(self, text: str):
+        """(start, end, tokens) of the words of a text in order, in characters of the source, for any script.
+
+        Words whose source overlaps (one character may become several words) are one entry.
+        """
+        for at, stretch in _stretches(text):
+            for kind, part, n in self._segments(stretch):
+                if kind == "special":
+                    yield at, at + len(part), n
+                elif _PLAIN.fullmatch(part):
+                    for m in _PIECE.finditer(part.lower()):
+                        yield at + m.start(), at + m.end(), self.count_word(m[0])
+                else:
+                    yield from self._located(part, at)
+                at += len(part)
+
+    def _located(self, part: str, at: int):
+        from tokenizers import PreTokenizedString
+
+        cut = PreTokenizedString(part)
+        cut.normalize(self.library.normalizer.normalize)
+        self.library.pre_tokenizer.pre_tokenize(cut)
+        found: list[list[int]] = []
+        for word, (start, end), _ in cut.get_splits(offset_referential="original", offset_type="char"):
+            while end < len(part) and unicodedata.combining(part[end]):  # marks that were composed
+                end += 1
+            n = self._count_levelled(word)
+            if found and start < found[-1][1]:
+                found[-1][1] = max(found[-1][1], end)
+                found[-1][2] += n
+            else:
+                found.append([start, end, n])
+        for start, end, n in found:
+            yield at + start, at + end, n
+
+
+def _stretches(text: str):
+    """(place, stretch) of a long text, cut behind blanks, where no word or special string spans the cut."""
+    at = 0
+    while at < len(text):
+        cut = text.find(" ", at + STRETCH) + 1 or len(text)
+        while cut < len(text) and text[cut].isspace() | bool(unicodedata.combining(text[cut])):
+            cut += 1
+        yield at, text[at:cut]
+        at = cut
+
+
 class PrefixTable:
-    """Token counts of every prefix of one text: stored at the word ends, one DP step within a word."""
+    """Token counts of every prefix of one text: stored at the word ends, one DP step within a word.
+
+    With a ``budget``, the table ends behind the first word that goes beyond it.
+    """
 
-    def __init__(self, bpe: PrefixBpe, text: str) -> None:
+    def __init__(self, bpe: PrefixBpe, text: str, budget: int | None = None) -> None:
         self.bpe, self.text = bpe, text
-        self.ends: list[int] = []
         self.starts: list[int] = []
-        counts: list[int] = []
-        self.exact = True  # offsets are known (else prefixes are counted from the stretch's start)
-        at = 0
-        for kind, part, n in bpe._segments(text):
-            if kind == "text" and _PLAIN.fullmatch(part):
-                for m in _PIECE.finditer(part.lower()):
-                    self.starts.append(at + m.start())
-                    self.ends.append(at + m.end())
-                    counts.append(bpe.count_word(m[0]))
-            else:
-                self.starts.append(at)
-                self.ends.append(at + len(part))
-                counts.append(n)
-            at += len(part)
-        self.sums = [0, *accumulate(counts)]
+        self.ends: list[int] = []
+        self.sums = [0]
+        for start, end, n in bpe.words(text):
+            self.starts.append(start)
+            self.ends.append(end)
+            self.sums.append(self.sums[-1] + n)
+            if budget is not None and self.sums[-1] > budget:
+                break
 
     @property
     def total(self) -> int:
@@ -222,21 +299,24 @@ class PrefixTable:
         return len(self.text) if k == len(self.ends) else self.ends[k - 1] if k else 0
 
 
+@functools.lru_cache(maxsize=2)
+def _tables(path: str | None) -> PrefixBpe:
+    """A worker's vocabulary: its memo of words serves all tasks that the worker runs."""
+    return PrefixBpe(path or default_path())
+
+
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_bytes, n_tokens, over_limit, fit_chars (the prefix within ``limit`` tokens)."""
-    tables: list[PrefixBpe] = []
 
     def kernel(part: pa.RecordBatch) -> dict:
-        if not tables:
-            tables.append(PrefixBpe(path or default_path()))
-        bpe = tables[0]
+        bpe = _tables(path)
         n_bytes, n_tokens, fits = [], [], []
         for text in part.column(1).to_pylist():
             text = text or ""
             n = bpe.count(text)
             n_bytes.append(len(text.encode()))
             n_tokens.append(n)
-            fits.append(len(text) if n <= limit else bpe.table(_head(text, limit)).fit(limit))
+            fits.append(len(text) if n <= limit else bpe.table(text, limit).fit(limit))
         return {
             id_col: part.column(0),
             "n_bytes": pa.array(n_bytes, pa.int64()),
@@ -250,17 +330,6 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 2048, id
     return map_text(chosen, kernel, f"{id_col} {id_type}, n_bytes long, n_tokens long, over_limit boolean, fit_chars long")
 
 
-def _head(text: str, limit: int) -> str:
-    """A stretch that surely holds ``limit`` tokens and ends at a space, so that the table need not span all of a long text."""
-    at = 24 * limit
-    while at < len(text) and len(_PIECE.findall(text[:at].lower())) <= limit + 1:
-        at *= 2
-    if at >= len(text):
-        return text
-    cut = text.find(" ", at)
-    return text if cut < 0 else text[:cut]
-
-
 def default_path() -> str:
     import public_tokenizers
 
