@@ -2,9 +2,10 @@
 
 Text is normalised by longest-prefix matching through the model's compiled character map (a double-array trie over
 UTF-8 bytes), and every normalised byte remembers the source bytes it came from; so each piece projects back to a
-span of original bytes.  When no piece of the vocabulary holds a word-start mark after another character, merges
-never cross such a mark and the text is encoded and aligned mark by mark, with a memo of stretches met before; the
-library encodes each stretch.  Other vocabularies are encoded and aligned whole.
+span of original bytes.  Where the model has no map, every character is its own longest prefix, and the same rule is
+carried out on whole groups of texts as arrays.  When no piece of the vocabulary holds a word-start mark after another
+character, merges never cross such a mark and the text is encoded mark by mark, with a memo of stretches met before;
+the library encodes each stretch.  Other vocabularies are encoded and aligned whole.  Workers keep their codec by path.
 
 Defined results: null text counts as empty (the end id alone, decoded to the empty text); repeated rows give repeated
 rows; an empty table gives an empty result.
@@ -12,9 +13,11 @@ rows; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import struct
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -30,7 +33,7 @@ _SOURCE = re.compile(f"[ {MARK}]+[^ {MARK}]*|[^ {MARK}]+")
 #: Memo entries and the longest stretch kept by one worker; a full memo is emptied, which never changes a result.
 MEMO, MEMO_CHARS = 150_000, 64
 #: Texts whose new stretches the library encodes in one call.
-GROUP = 256
+GROUP, GROUP_CHARS = 256, 1 << 20
 
 
 class Encoded(NamedTuple):
@@ -104,9 +107,12 @@ class PieceCodec:
         self.norm = norm
         self.byte_ids = frozenset(i for i in range(len(pieces)) if pieces[i].type in (pieces[i].BYTE, pieces[i].UNKNOWN, pieces[i].CONTROL))
         self._ids: dict[str, list[int]] = {}
-        self._text: dict[str, tuple[int, str, str, bytes, bytes, int]] = {}
+        self._text: dict[str, tuple[int, str, str, bytes]] = {}
         #: Normalised bytes of each piece; an unknown piece is one character.
         self.sizes = [0 if p.type == p.UNKNOWN else 1 if p.type == p.BYTE else len(p.piece.encode()) for p in pieces]
+        self._size_of = np.array(self.sizes, dtype=np.uint16)
+        self._is_byte = np.isin(np.arange(len(pieces)), list(self.byte_ids))
+        self._said = [str(i) for i in range(len(pieces))]
 
     # -- normalisation ------------------------------------------------------------------------------------------
 
@@ -200,24 +206,22 @@ class PieceCodec:
         for p in parts:
             if p:
                 p[0] = "^" + p[0]
-        missing = [s for s in dict.fromkeys(s for p in parts for s in p) if s not in memo]
-        for s, ids in zip(missing, self.library.encode([s[1:] for s in missing], num_threads=1) if missing else ()):
-            ids = ids or [self.mark_id]
-            first = s[0] == "^"
-            source = s[1:] if first else s
-            e = self.align(ids, source, first)
-            # decoding drops one leading mark, which every stretch has; pieces that aren't bytes spell the stretch
-            plain = self.byte_ids.isdisjoint(ids)
-            made = " " + (s[1:].replace(MARK, " ") if plain else self.library.decode(ids))
-            memo[s] = len(ids), " ".join(map(str, ids)), made, np.array(e.starts).tobytes(), np.array(e.ends).tobytes(), len(source.encode())
-        out = []
-        for p in parts:
-            if p:
-                n, said, made, starts, ends, sizes = zip(*map(memo.__getitem__, p))
-                after = np.cumsum(sizes)
-                before = np.repeat(after - sizes, n)
-                spans = [np.append(np.frombuffer(b"".join(x), dtype=np.int64) + before, after[-1]) for x in (starts, ends)]
-                out.append(Trip(sum(n) + 1, f"{' '.join(said)} {end}", "".join(made)[1:], *spans))
+        missing = [s for s in dict.fromkeys(chain.from_iterable(parts)) if s not in memo]
+        if missing:
+            self._learn(missing)
+        rows = [[memo[s] for s in p] for p in parts]
+        sizes = np.frombuffer(b"".join([m[3] for r in rows for m in r]), np.uint16)
+        if not sizes.all():
+            raise ValueError("an unknown piece in a vocabulary that spells bytes")
+        counts = [sum([m[0] for m in r]) for r in rows]
+        starts, ends = self._group_spans(texts, sizes, counts)
+        out, at = [], 0
+        for text, r, n in zip(texts, rows, counts):
+            if r:
+                said = " ".join([m[1] for m in r])
+                size = len(text.encode())
+                out.append(Trip(n + 1, f"{said} {end}", "".join([m[2] for m in r])[1:], np.append(starts[at : at + n], size), np.append(ends[at : at + n], size)))
+                at += n
             else:
                 out.append(Trip(1, str(end), "", np.zeros(1, np.int64), np.zeros(1, np.int64)))
         for s in missing:
@@ -225,14 +229,67 @@ class PieceCodec:
                 del memo[s]
         return out
 
+    def _learn(self, stretches: list[str]) -> None:
+        """Remember the stretches' ids (said in decimals), decoding and piece sizes."""
+        found = [ids or [self.mark_id] for ids in self.library.encode([s[1:] for s in stretches], num_threads=1)]
+        flat = np.array(list(chain.from_iterable(found)), dtype=np.int32)
+        ends = np.cumsum([len(ids) for ids in found])
+        sizes, odd = self._size_of[flat].tobytes(), np.add.reduceat(self._is_byte[flat].astype(np.int32), np.append(0, ends[:-1])) > 0
+        said, memo, at = self._said, self._text, 0
+        for s, ids, to, o in zip(stretches, found, ends.tolist(), odd.tolist()):
+            # decoding drops one leading mark, which every stretch has; pieces that aren't bytes spell the stretch
+            made = " " + (self.library.decode(ids) if o else s[1:].replace(MARK, " "))
+            memo[s] = len(ids), " ".join([said[i] for i in ids]), made, sizes[2 * at : 2 * to]
+            at = to
+
+    def _group_spans(self, texts: list[str], sizes: np.ndarray, counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Source spans of the pieces of all texts, end to end; ``sizes`` are the pieces' normalised bytes.
+
+        Normalised bytes of the texts are laid out as by ``normalise`` (a mark before each, a mark for every space),
+        and each carries its source byte; a piece spans from the source of its first byte to that of the next piece.
+        """
+        raw = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join([b" " + r for r in raw if r]), np.uint8)  # the blank stands for the mark that leads
+        index = np.arange(len(data), dtype=np.int64)
+        head = np.maximum.accumulate(np.where((data & 0xC0) != 0x80, index, 0))  # each byte's character
+        source = np.append(np.repeat(head, np.where(data == 32, len(MARK.encode()), 1)), len(data))
+        begin = np.cumsum(sizes, dtype=np.int64)
+        if (begin[-1] if len(begin) else 0) != len(source) - 1:
+            raise ValueError("pieces that don't add up to the normalised texts")
+        ends = source[begin]
+        starts = source[begin - sizes]
+        at = size = 0
+        for r, n in zip(raw, counts):
+            if r:
+                # places are those of the text itself; the leading mark has an empty span at 0
+                starts[at : at + n] = np.maximum(starts[at : at + n] - (size + 1), 0)
+                ends[at : at + n] -= size + 1
+                at += n
+                size += len(r) + 1
+                ends[at - 1] = len(r)
+        return starts, ends
+
     def round_trip(self, text: str) -> Trip:
         return self.round_trips([text])[0]
 
 
-def _codec(held: list[PieceCodec], path: str | None) -> PieceCodec:
-    if not held:
-        held.append(PieceCodec(path or default_path()))
-    return held[0]
+@functools.lru_cache(maxsize=2)
+def _codec(path: str | None) -> PieceCodec:
+    """A worker's codec: its memo serves all tasks that the worker runs."""
+    return PieceCodec(path or default_path())
+
+
+def _groups(texts: list[str]):
+    """Runs of texts of at most GROUP texts and about GROUP_CHARS characters."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t)
+        if len(group) >= GROUP or size >= GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 def encode_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,14 +297,11 @@ def encode_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_
 
     The last is of the pieces' source spans: all starts, then all ends, as little-endian 64-bit integers.
     """
-    held: list[PieceCodec] = []
-
     def kernel(part: pa.RecordBatch) -> dict:
-        codec = _codec(held, path)
+        codec = _codec(path)
         n_tokens, ids_sha, text_sha, same, spans_sha = [], [], [], [], []
         texts = [t or "" for t in part.column(1).to_pylist()]
-        for at in range(0, len(texts), GROUP):
-            group = texts[at : at + GROUP]
+        for group in _groups(texts):
             for text, trip in zip(group, codec.round_trips(group)):
                 n_tokens.append(trip.n)
                 ids_sha.append(hashlib.sha256(trip.said.encode()).hexdigest())
@@ -262,10 +316,8 @@ def encode_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_
 
 def encode_pieces(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ids, starts, ends (source byte spans; the end id spans nothing at the text's end)."""
-    held: list[PieceCodec] = []
-
     def kernel(part: pa.RecordBatch) -> dict:
-        codec = _codec(held, path)
+        codec = _codec(path)
         ids, starts, ends = [], [], []
         for text in part.column(1).to_pylist():
             e, n = codec.encode(text or ""), len((text or "").encode())
@@ -281,11 +333,9 @@ def encode_pieces(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
 
 def decode_pieces(rows: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """The inverse of ``encode_pieces``: id, text (null ids: empty text)."""
-    held: list[PieceCodec] = []
-
     def run(batches):
         for part in batches:
-            codec = _codec(held, path)
+            codec = _codec(path)
             yield pa.RecordBatch.from_pydict({id_col: part.column(0), "text": pa.array([codec.decode(x or []) for x in part.column(1).to_pylist()], pa.string())})
 
     kind = rows.schema[id_col].dataType.simpleString()
