@@ -506,6 +506,30 @@ def test_topk_against_all_pairs(spark):
     assert got == sorted(want)
 
 
+def test_topk_of_odd_rows(spark, monkeypatch):
+    """Repeated ids (valid, invalid and equal rows), ties, several rounds of queries, an empty table, clashing names."""
+    from tidelark.llm import topk
+
+    monkeypatch.setattr(topk, "QUERY_BYTES", 300)
+    schema = "vec_id long, embedding array<double>, id int, v string, score string, kth int"
+    rows = [(20, [None, 1.0]), (20, [1.0, 1.0]), (20, [1.0, 1.0]), (20, [0.5, 2.0]), (40, [1.0, 1.0]), (60, [-1.0, 0.25, 3.0])]
+    rows += [(i, [float(i % 3), 1.0]) for i in range(100, 160)] + [(20, None), (80, []), (120, [3.0, 3.0])]
+    d = spark.createDataFrame([(*r, 1, "x", "y", 2) for r in rows], schema).repartition(3)
+    out = topk.exact_topk(d)
+    ints = [(i, np.floor(64 * np.array([*v, *[0.0] * (3 - len(v))])).astype(int)) for i, v in rows if v and None not in v]
+    for q in (20, 40, 60, 100, 120, 140):
+        got = [(r["score"], r["vec_id"]) for r in out.filter(out["query_id"] == q).orderBy("rank").collect()]
+        own = [v for i, v in ints if i == q]
+        wants = []
+        for mine in own:
+            scores = sorted((-int(mine @ v), i) for i, v in ints)
+            scores.remove((-int(mine @ mine), q))
+            wants.append([(-s, i) for s, i in scores[:20]])
+        assert got in wants, q
+    assert out.count() == 120 and out.select("query_id", "rank").distinct().count() == 120
+    assert topk.exact_topk(d.limit(0)).count() == 0
+
+
 # -- registered queries and the pipeline ------------------------------------------------------------------------------
 
 

@@ -3,12 +3,15 @@
 Every shard of the candidate vectors is a packed ball tree.  A block of queries descends it together: a node is
 entered only by the queries whose upper bound (q.c + |q| r) reaches their current k-th score, the side with the
 larger bound first.  The k-th scores are shared: a pilot shard gives every query a first one, and a task hands the
-running one from shard to shard.  Query blocks meet shards in a grid of bounded cells.
+running one from shard to shard.  Trees stay in the tasks that read their rows: queries come to them, in rounds of
+``QUERY_BYTES`` of packed queries, each a broadcast of bounded size, and only a task's best k a query are shuffled; so
+what is shuffled grows with rows of results (queries x tasks x k at most), not with vectors.
 
 Components become floor(64 * x) (x as double) and scores are exact integers.  Defined results: vectors that are null,
 empty or hold null or non-finite components, and rows without an id, take no part; vectors of unlike lengths score as
-if padded by zeros; ties go to the smaller id; a query never meets rows of its own id, and an id given by several rows
-is one query (its least vector) while all its rows are candidates of the other queries; scores beyond 64 bits saturate.
+if padded by zeros; ties go to the smaller id.  An id given by several valid rows is one query (its first vector in
+order); the query's own row is one row of that id and vector, and its other rows are candidates like any; scores beyond
+64 bits saturate.  An empty table, or one without a valid query, gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-LEAF, SHARD_ROWS, CELL_ROWS, QUERY_ROWS = 256, 8192, 65_536, 512
+from .common import checkpointed
+
+LEAF, SHARD_ROWS = 256, 8192
+#: Packed queries of one round, and queries that descend a tree together.
+QUERY_BYTES, BLOCK = 16 << 20, 2048
+#: Rows of the shard that gives first k-th scores.
+PILOT_ROWS = 4096
 _LOW = np.iinfo(np.int64).min
 
 
@@ -42,7 +51,8 @@ def quantised(batch_ids: pa.Array, vectors: pa.Array) -> tuple[np.ndarray, np.nd
         out = np.empty(made.shape, dtype=object)
         out[:] = [[int(x) for x in row] for row in made]
         return np.array(ids, dtype=np.int64), out
-    return np.array(ids, dtype=np.int64), made.astype(np.int64)
+    top = float(np.abs(made).max(initial=0))
+    return np.array(ids, dtype=np.int64), made.astype(np.int8 if top < 2**7 else np.int16 if top < 2**15 else np.int32)
 
 
 def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -50,8 +60,9 @@ def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     width = max(q.shape[1], v.shape[1])
     q, v = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) if x.shape[1] < width else x for x in (q, v))
     if q.dtype != object and v.dtype != object:
-        if not q.size or not v.size or float(np.abs(q).max()) * float(np.abs(v).max()) * width < 2.0**52:
-            return (q.astype(np.float64) @ v.astype(np.float64).T).astype(np.int64)
+        a, b = q.astype(np.float64), v.astype(np.float64)
+        if not a.size or not b.size or float(np.abs(a).max()) * float(np.abs(b).max()) * width < 2.0**52:
+            return (a @ b.T).astype(np.int64)
     exact = q.astype(object) @ v.astype(object).T
     return np.clip(exact, _LOW + 1, np.iinfo(np.int64).max).astype(np.int64)
 
@@ -124,7 +135,6 @@ class TopK:
 
     def offer(self, active: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
         scores = _products(self.queries[active], vectors)
-        scores[self.query_ids[active][:, None] == ids[None, :]] = _LOW
         live = (scores >= self.kth[active][:, None]) & (scores > _LOW)
         some = live.any(axis=1)
         active, scores = active[some], np.where(live[some], scores[some], _LOW)
@@ -139,7 +149,10 @@ class TopK:
 
     def rows(self) -> pd.DataFrame:
         at, col = np.nonzero(self.scores > _LOW)
-        return pd.DataFrame({"query_id": self.query_ids[at], "vec_id": self.ids[at, col], "score": self.scores[at, col]})
+        # of the rows that look like the query's own (there is one, copies of it aside), the caller drops one
+        whole = np.concatenate([np.diagonal(_products(self.queries[i : i + 64], self.queries[i : i + 64])) for i in range(0, len(self.queries), 64)])
+        own = (self.ids[at, col] == self.query_ids[at]) & (self.scores[at, col] == whole[at])
+        return pd.DataFrame({"query_id": self.query_ids[at], "vec_id": self.ids[at, col], "score": self.scores[at, col], "own": own})
 
 
 def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -149,66 +162,93 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(by_id, by_score, axis=1)
 
 
-def exact_topk(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k best rows of every query (ids divisible by ``every``)."""
-    rows = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].alias("v"))
-    n, n_queries = rows.select(F.count("*"), F.count_if(F.col("id") % every == 0)).first()
-    cells, groups = max(1, -(-n // CELL_ROWS)), max(1, -(-n_queries // QUERY_ROWS))
+def _stacked(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    wide = max(v.shape[1] for _, v in held)
+    return np.concatenate([i for i, _ in held]), np.concatenate([np.pad(v, ((0, 0), (0, wide - v.shape[1]))) for _, v in held])
 
-    def trees(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
 
-        def packed():
-            wide = max(v.shape[1] for _, v in held)
-            tree = BallTree(np.concatenate([i for i, _ in held]), np.concatenate([np.pad(v, ((0, 0), (0, wide - v.shape[1]))) for _, v in held]))
-            cell = int(tree.ids[0]) * 0x9E3779B97F4A7C15 % 2**64 % cells
-            return pa.RecordBatch.from_pydict({"cell": pa.array([cell], pa.int32()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+def _shards(batches):
+    """The valid rows of a task, SHARD_ROWS or so at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, SHARD_ROWS):
+            part = batch.slice(at, SHARD_ROWS)
+            ids, made = quantised(part.column(0), part.column(1))
+            if len(ids):
+                held.append((ids, made))
+                size += len(ids)
+            if size >= SHARD_ROWS:
+                yield _stacked(held)
+                held, size = [], 0
+    if held:
+        yield _stacked(held)
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, SHARD_ROWS):
-                part = batch.slice(at, SHARD_ROWS)
-                ids, made = quantised(part.column(0), part.column(1))
-                if len(ids):
-                    held.append((ids, made))
-                    size += len(ids)
-                if size >= SHARD_ROWS:
-                    yield packed()
-                    held, size = [], 0
-        if held:
-            yield packed()
-
-    index = rows.mapInArrow(trees, "cell int, tree binary")
-    pilot = index.select("tree").head(1)  # one shard of bounded rows
-    pilot = pilot[0][0] if pilot else None
-
-    def blocks(batches):
+
+def _query_rounds(rows: DataFrame, every: int, pilot):
+    """(ids, vectors, first k-th scores) of the distinct query ids, QUERY_BYTES of packed vectors at a time."""
+
+    def pack(batches):
         for batch in batches:
             ids, made = quantised(batch.column(0), batch.column(1))
-            if not len(ids):
-                continue
-            best = TopK(ids, made, k)
-            if pilot is not None:
-                pickle.loads(pilot).search(best)
-            yield pa.RecordBatch.from_pydict({"id": pa.array(ids), "kth": pa.array(best.kth), "q": pa.array([pickle.dumps(x) for x in made], pa.binary())})
-
-    queries = rows.filter((F.col("id") % every == 0) & F.col("v").isNotNull()).groupBy("id").agg(F.min("v").alias("v"))
-    queries = queries.mapInArrow(blocks, "id long, kth long, q binary").withColumn("group", (F.pmod(F.xxhash64("id"), F.lit(groups))).cast("int"))
-
-    def search(left, right):
-        shards, asked = left.to_pydict(), right.to_pydict()
-        if asked["id"] and shards["tree"]:
-            made = [pickle.loads(x) for x in asked["q"]]
-            wide = max(map(len, made))
-            made = np.array([np.pad(x, (0, wide - len(x))) for x in made])
-            best = TopK(np.array(asked["id"], dtype=np.int64), made, k, np.array(asked["kth"], dtype=np.int64))
-            for tree in shards["tree"]:
-                pickle.loads(tree).search(best)
-            return pa.Table.from_pandas(best.rows(), preserve_index=False)
-        return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
-
-    left = index.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).groupBy("group", "cell")
-    right = queries.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))).groupBy("group", "cell")
-    found = left.cogroup(right).applyInArrow(search, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            yield pa.RecordBatch.from_pydict({"id": pa.array(ids), "v": pa.array([pickle.dumps(x) for x in made], pa.binary())})
+
+    def bound(batches):
+        tree, k = pilot.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                best = TopK(part.column(0).to_numpy(), _matrix(part.column(1).to_pylist()), k)
+                if tree is not None:
+                    tree.search(best)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(best.kth)], names=["id", "v", "kth"])
+
+    # an id in several rows is asked by the first of its vectors in order
+    asked = rows.filter(F.col("id") % every == 0).mapInArrow(pack, "id long, v binary").groupBy("id").agg(F.min("v").alias("v"))
+    asked = checkpointed(asked.mapInArrow(bound, "id long, v binary, kth long"))
+    size = asked.agg(F.sum(F.octet_length("v").cast("long") + 16)).first()[0] or 0
+    rounds = max(1, -(-size // QUERY_BYTES))
+    for r in range(rounds):
+        part = asked if rounds == 1 else asked.filter(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r)
+        got = part.toPandas()  # QUERY_BYTES or so
+        if len(got):
+            yield got["id"].to_numpy(dtype=np.int64), _matrix(got["v"]), got["kth"].to_numpy(dtype=np.int64)
+
+
+def _matrix(packed) -> np.ndarray:
+    vectors = [pickle.loads(x) for x in packed]
+    wide = max(map(len, vectors), default=0)
+    return np.array([np.pad(x, (0, wide - len(x))) for x in vectors]).reshape(len(vectors), wide)
+
+
+def exact_topk(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """query_id, rank, vec_id, score: the k best rows of every query (ids divisible by ``every``)."""
+    spark = vectors.sparkSession
+    rows = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].alias("v")).filter("id IS NOT NULL AND v IS NOT NULL")
+    more = k + 1  # the query's own row may be among them
+    pilot = next(_shards(rows.limit(PILOT_ROWS).toArrow().to_batches()), None)  # a bounded shard, for first k-th scores
+    pilot = spark.sparkContext.broadcast((BallTree(*pilot) if pilot else None, more))
+    found = None
+    for asked in _query_rounds(rows, every, pilot):
+        shared = spark.sparkContext.broadcast(asked)  # QUERY_BYTES or so
+
+        def search(batches, shared=shared):
+            ids, queries, kth = shared.value
+            blocks = [TopK(ids[i : i + BLOCK], queries[i : i + BLOCK], more, kth[i : i + BLOCK]) for i in range(0, len(ids), BLOCK)]
+            for shard in _shards(batches):
+                tree = BallTree(*shard)
+                for best in blocks:
+                    tree.search(best)
+            for best in blocks:
+                yield pa.RecordBatch.from_pandas(best.rows(), preserve_index=False)
+
+        part = rows.mapInArrow(search, "query_id long, vec_id long, score long, own boolean")
+        found = part if found is None else found.union(part)
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", F.desc("own"))
+    kept = found.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= more)
+    # one own row goes, and those behind it move up
+    own_at = F.min(F.when(F.col("own"), F.col("at"))).over(Window.partitionBy("query_id"))
+    kept = kept.withColumn("own_at", own_at).filter(F.col("own_at").isNull() | (F.col("at") != F.col("own_at")))
+    rank = F.when(F.col("at") > F.col("own_at"), F.col("at") - 1).otherwise(F.col("at"))
+    return kept.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
