@@ -126,33 +126,60 @@ def test_sparse_sites_shrink_toward_their_parents(spark):
     assert abs(out[900]["host_rate"] - 0.5) < 0.01 and out[0]["keep"]
 
 
-def test_code_lengths_match_a_plain_escape_model():
-    from tidelark.llm.langid import ContextTrees, gram_codes
-
-    rng = np.random.default_rng(0)
-    a, order = 5, 2
-    train, text = rng.integers(0, a, 300).astype(np.uint8), rng.integers(0, a, 40).astype(np.uint8)
-    codes, n = np.unique(gram_codes(train, np.array([0, 300]), a, order), return_counts=True)
-    trees = ContextTrees(["x"], np.arange(256, dtype=np.uint8) % a, a, {"x": (codes, n.astype(np.float32))}, order)
-    padded = [0, 0, *train.tolist()]
-
-    def bits(history, s):
-        total = 0.0
+def _plain_bits(train, text, order):
+    """Code length of a text by escape method C over bytes, straight from the training texts."""
+    fold = lambda t: t.encode().translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
+    padded = [b" " * order + fold(t) for t in train]
+    total, history = 0.0, b" " * order
+    for s in fold(text):
         for k in range(order, -1, -1):
-            ctx = tuple(history[len(history) - k :])
-            seen = [padded[i] for i in range(order, len(padded)) if tuple(padded[i - k : i]) == ctx]
+            ctx = history[len(history) - k :]
+            seen = [t[i] for t in padded for i in range(order, len(t)) if t[i - k : i] == ctx]
             kinds = len(set(seen))
             if s in seen:
-                return total + np.log2((len(seen) + kinds) / seen.count(s))
+                total += np.log2((len(seen) + kinds) / seen.count(s))
+                break
             total += np.log2((len(seen) + kinds) / kinds) if seen else 0
-        return total + np.log2(a)
-
-    want, history = 0.0, [0, 0]
-    for s in text.tolist():
-        want += bits(history, s)
-        history.append(s)
-    shared = np.log2(np.bincount(np.arange(256) % a, minlength=a))[text].sum()
-    assert trees.lengths(text, np.array([0, 40]))[0, 0] == pytest.approx(want + shared, rel=1e-5)
+        else:
+            total += 8
+        history += bytes([s])
+    return total
+
+
+def test_language_ids_match_a_plain_escape_model(spark):
+    """Predictions, scores and code lengths of the query against brute force, in several scripts."""
+    from tidelark.llm import langid
+
+    rng = random.Random(8)
+    scripts = {"ar": "ابتثجح ", "ja": "日本語のは ", "ru": "абвгд ", "xx": "abcde "}
+    rows = [(i, "".join(rng.choice(a) for _ in range(rng.randint(3, 25))), lang) for i, (lang, a) in enumerate(list(scripts.items()) * 12)]
+    rows += [(100 + i, t, None) for i, t in enumerate(["Ξένο κείμενο", "аб日", "ABC ж", "123", ""])]
+    out = {r["doc_id"]: r for r in langid.language_ids(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    train = {x: [t for i, t, y in rows if y == x and crc32(str(i).encode()) % 4 != 2] for x in scripts}
+    for i, t, _ in rows:
+        if not any(c.isalpha() for c in t):
+            assert (out[i]["lang_pred"], out[i]["score"]) == ("und", 0)
+            continue
+        bits = {x: _plain_bits(train[x], t, langid.ORDER) for x in sorted(scripts)}
+        best = min(bits, key=bits.get)
+        assert out[i]["lang_pred"] == best
+        assert out[i]["score"] == pytest.approx(1 / sum(2 ** (-(b - bits[best]) / langid.SOFTEN) for b in bits.values()), rel=1e-4)
+        assert out[i]["bits_per_byte"] == pytest.approx(bits[best] / len(t.encode()), rel=1e-4)
+    held = [(i, x) for i, _, x in rows if x and out[i]["held_out"] and out[i]["lang_pred"] != "und"]
+    assert held and all(out[i]["lang_pred"] == x for i, x in held)
+
+
+def test_language_stage_rejects_by_its_code_lengths(spark):
+    """Texts that no language's code shortens go, null languages are named; without training rows lettered texts stay."""
+    from tidelark.llm import langid
+
+    rows = [(i, "the cat sat on the mat and the dog ran " * 3, "en", 5) for i in range(40)]
+    rows += [(50, "the dog and the cat", None, 5), (51, "ωψχφυτσρποξνμλκ", None, 5), (52, "12 34", "en", 5), (53, None, None, 5)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, _0 int")
+    out = {r["doc_id"]: r for r in langid.with_language(d).collect()}
+    assert set(out) == {*range(40), 50} and out[50]["lang"] == "en" and out[50]["_0"] == 5
+    untaught = d.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in langid.with_language(untaught).collect()} == {*range(40), 50, 51}
 
 
 # -- op2 --------------------------------------------------------------------------------------------------------------

@@ -2,12 +2,12 @@
 
 Each language has a tree of byte contexts up to ``ORDER`` bytes deep.  A byte costs the code length of the deepest
 context that has seen it, plus the escapes on the way there (method C: the escape's count is the number of distinct
-bytes the context has seen); statistics are frozen after training, so a text's code length is a sum of table entries
-and the trees are unrolled into one table per language.  The shortest code names the language.
+bytes the context has seen); what no context has seen costs 8 bits more.  Statistics are frozen after training, so the
+trees are laid out as one hash table a depth, shared by all languages (a row a known context and byte, a column a
+language), and a text's code length is a sum of its entries.  The shortest code names the language.  Nothing is dense:
+all 256 byte values are symbols (A-Z count as a-z) and memory grows with the contexts that were seen.
 
-Bytes are folded to ``SYMBOLS`` classes: the most frequent bytes of the training texts are classes of their own, all
-others share one class and pay log2 of its size besides, so code lengths are of exact bytes.  Training reads a bounded
-sample: the ``PER_LANG`` rows of each language with the smallest id hashes.
+Training reads a bounded sample: the ``PER_LANG`` rows of each language with the smallest id hashes.
 
 Defined results: null text, or text without a letter: ``und`` with score 0; no training rows: every text is ``und``;
 ties go to the language that sorts first; rows with null lang teach nothing; equal rows give equal results.
@@ -15,66 +15,133 @@ ties go to the language that sorts first; rows with null lang teach nothing; equ
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, crc_mod, release
+from .common import bounded, crc_mod, release, slices
 
-ORDER, SYMBOLS, PER_LANG = 3, 40, 1500
+ORDER, PER_LANG = 3, 1500
 #: Bits by which a rival code must be longer for the score to halve its odds once.
 SOFTEN = 4.0
-PIECE = 4 << 20
+#: Bits of a byte that no context tells anything about.
+BLANK = 8.0
+PIECE = 1 << 20
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Places:
+    """Row numbers of distinct codes: an open table of at most half load, probed for all codes at once."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        self.bits = max(4, int(2 * len(codes)).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.rows = np.full(1 << self.bits, -1, np.int32)
+        todo, at = np.arange(len(codes)), self._slot(codes)
+        while len(todo):
+            free = self.rows[at] < 0
+            slots, first = np.unique(at[free], return_index=True)
+            put = np.nonzero(free)[0][first]
+            self.keys[slots], self.rows[slots] = codes[todo[put]], todo[put]
+            left = np.ones(len(todo), bool)
+            left[put] = False
+            todo, at = todo[left], at[left] + 1 & (1 << self.bits) - 1
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (codes.astype(np.uint64) * _ODD >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """The row of each code, -1 for others."""
+        at = self._slot(codes)
+        rows = self.rows[at]
+        todo = np.nonzero((rows >= 0) & (self.keys[at] != codes))[0]
+        at = at[todo]
+        while len(todo):
+            at = at + 1 & (1 << self.bits) - 1
+            rows[todo] = self.rows[at]
+            far = (rows[todo] >= 0) & (self.keys[at] != codes[todo])
+            todo, at = todo[far], at[far]
+        return rows
+
+
 class ContextTrees:
-    """Frozen code lengths: ``cost[lang][context, symbol]`` in bits."""
-
-    def __init__(self, langs: list[str], symbol_of: np.ndarray, symbols: int, grams: dict[str, tuple[np.ndarray, np.ndarray]], order: int = ORDER) -> None:
-        self.langs, self.symbol_of, self.symbols, self.order = langs, symbol_of, symbols, order
-        shared = np.bincount(symbol_of, minlength=symbols)
-        self.extra = np.log2(np.maximum(shared, 1)).astype(np.float32)
-        self.cost = [self._unrolled(*grams[x]) for x in langs]
-
-    def _unrolled(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        a = self.symbols
-        full = np.zeros(a ** (self.order + 1), dtype=np.float32)
-        full[codes] = counts
-        cost = np.full((1, a), np.log2(a), dtype=np.float32)
-        for k in range(self.order + 1):
-            seen = full.reshape(-1, a**k, a).sum(axis=0) if k < self.order else full.reshape(-1, a)
-            total, kinds = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
+    """Frozen code lengths in bits of every known context and byte, by depth, for all languages."""
+
+    def __init__(self, langs: list[str], codes: np.ndarray, counts: np.ndarray, order: int = ORDER) -> None:
+        """``counts``: how often each code (order + 1 bytes) occurs, a column a language."""
+        self.langs, self.order = langs, order
+        self.known: list[Places] = []
+        self.cost: list[np.ndarray] = []  # by depth: languages x codes
+        self.contexts: list[Places] = []
+        self.escape: list[np.ndarray] = []  # by depth: contexts x languages
+        for k in range(order + 1):
+            own, inverse = np.unique(codes & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            seen = np.zeros((len(own), len(langs)))
+            np.add.at(seen, inverse, counts)
+            context, of = np.unique(own >> np.uint64(8), return_inverse=True)
+            total, kinds = np.zeros((len(context), len(langs))), np.zeros((len(context), len(langs)))
+            np.add.at(total, of, seen)
+            np.add.at(kinds, of, seen > 0)
             with np.errstate(divide="ignore", invalid="ignore"):
-                hit = np.log2(total + kinds) - np.log2(seen)
                 escape = np.where(total > 0, np.log2(total + kinds) - np.log2(kinds), 0)
-            lower = np.tile(cost, (len(seen) // len(cost), 1))  # the context without its oldest byte
-            cost = np.where(seen > 0, hit, escape + lower).astype(np.float32)
-        return (cost + self.extra).ravel()
+                hit = np.log2(total + kinds)[of] - np.log2(seen)
+            lower = self.cost[k - 1][:, self.known[k - 1].of(own & np.uint64((1 << 8 * k) - 1))].T if k else np.full(seen.shape, 8.0)
+            self.cost.append(np.where(seen > 0, hit, escape[of] + lower).T.astype(np.float32).copy())
+            self.known.append(Places(own))
+            self.contexts.append(Places(context))
+            self.escape.append(escape.astype(np.float32))
+
+    def _unseen(self, codes: np.ndarray, k: int) -> np.ndarray:
+        """Code lengths (codes x languages) of codes that depth ``k`` doesn't know."""
+        place = self.contexts[k].of(codes >> np.uint64(8))
+        out = np.where(place[:, None] >= 0, self.escape[k][place], 0).astype(np.float64)
+        if not k:
+            return out + 8.0
+        shorter = codes & np.uint64((1 << 8 * k) - 1)
+        at = self.known[k - 1].of(shorter)
+        out += np.where(at[:, None] >= 0, self.cost[k - 1][:, at].T, 0)
+        if len(far := np.nonzero(at < 0)[0]):
+            out[far] += self._unseen(shorter[far], k - 1)
+        return out
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code lengths (texts x languages) of the texts data[offsets[i]:offsets[i + 1]], none of them empty."""
-        a = self.symbols
-        index = gram_codes(self.symbol_of[data], offsets, a, self.order)
-        return np.stack([np.add.reduceat(np.take(c, index), offsets[:-1], dtype=np.float64) for c in self.cost], axis=1)
-
-
-def gram_codes(symbols: np.ndarray, offsets: np.ndarray, a: int, order: int) -> np.ndarray:
-    """Code of each byte with its ``order`` predecessors; texts begin as after spaces of symbol 0."""
-    index = symbols.astype(np.int32)
-    scale = 1
+        codes = gram_codes(data, offsets, self.order)
+        at = self.known[self.order].of(codes)
+        new = np.nonzero(at < 0)[0]
+        at[new] = 0
+        out = np.empty((len(offsets) - 1, len(self.langs)))
+        more = self._unseen(codes[new], self.order)
+        owner = np.searchsorted(offsets, new, side="right") - 1
+        for i, cost in enumerate(self.cost[self.order]):
+            bits = np.take(cost, at)
+            bits[new] = 0
+            out[:, i] = np.add.reduceat(bits, offsets[:-1], dtype=np.float64) + np.bincount(owner, weights=more[:, i], minlength=len(out))
+        return out
+
+
+def gram_codes(data: np.ndarray, offsets: np.ndarray, order: int) -> np.ndarray:
+    """Code of each byte with its ``order`` predecessors; texts begin as after spaces."""
+    symbols = _FOLD[data]
+    codes = symbols.astype(np.uint64)
     for back in range(1, order + 1):
-        scale *= a
-        before = np.zeros_like(symbols)
-        before[back:] = symbols[:-back] if back < len(symbols) else 0
+        before = np.full_like(symbols, 32)
+        before[back:] = symbols[:-back] if back < len(symbols) else 32
         for k in range(back):
             at = offsets[:-1] + k
-            before[at[at < len(before)]] = 0
-        index += before.astype(np.int32) * scale
-    return index
+            before[at[at < len(before)]] = 32
+        codes |= before.astype(np.uint64) << np.uint64(8 * back)
+    return codes
 
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,8 +158,8 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, np.append(offsets[:-1][rows], offsets[-1]), rows
 
 
-def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS, per_lang: int = PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
-    """Counts of the bounded sample: (langs, symbol_of, symbols, grams), or None without training rows."""
+def train(docs: DataFrame, order: int = ORDER, per_lang: int = PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
+    """(name, langs, codes, counts, order) of the bounded sample, or None without training rows."""
     keyed = bounded(docs).filter(docs[lang_col].isNotNull() & docs[text_col].isNotNull()).select(docs[lang_col].alias("lang"), F.xxhash64(docs[id_col]).alias("h"), docs[text_col].alias("text"))
     rows = keyed.groupBy("lang").count().collect()  # a row a language
     if not rows:
@@ -101,48 +168,39 @@ def train(docs: DataFrame, order: int = ORDER, symbols: int = SYMBOLS, per_lang:
     share = {r["lang"]: min(1.0, per_lang / r["count"]) for r in rows}
     limit = F.element_at(F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, v * 2.0**64 - 2.0**63)]), F.col("lang"))
     sample = keyed.filter(F.col("h").cast("double") <= limit)
-    fold = _FOLD
-
-    def histogram(batches):
-        total = np.zeros(256, dtype=np.int64)
-        for b in batches:
-            data, _, _ = _bytes(b.column(1))
-            total += np.bincount(fold[data], minlength=256)
-        yield pa.RecordBatch.from_pydict({"byte": pa.array(range(256), pa.int32()), "n": pa.array(total)})
-        release()
-
-    seen = sample.select("lang", "text").mapInArrow(histogram, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    by_use = sorted((r for r in seen if r["n"]), key=lambda r: (-r["n"], r["byte"]))[: symbols - 1]
-    own = np.full(256, symbols - 1, dtype=np.uint8)
-    for i, r in enumerate(by_use):
-        own[r["byte"]] = i
-    symbol_of = own[fold]
 
     def counted(batches):
-        got: dict[str, np.ndarray] = {}
-        for b in batches:
-            for lang in set(b.column(0).to_pylist()):
-                part = b.filter(pa.compute.equal(b.column(0), lang))
-                data, offsets, rows = _bytes(part.column(1))
-                if len(rows):
-                    codes = np.bincount(gram_codes(symbol_of[data], offsets, symbols, order)).astype(np.int32)
-                    if lang in got and len(got[lang]) >= len(codes):
-                        got[lang][: len(codes)] += codes
-                    else:
-                        if lang in got:
-                            codes[: len(got[lang])] += got[lang]
-                        got[lang] = codes
-        for lang, codes in got.items():
-            at = np.nonzero(codes)[0]
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at), pa.string()), "code": pa.array(at, pa.int32()), "n": pa.array(codes[at], pa.int64())})
-        got.clear()
+        for whole in batches:
+            for b in slices(iter([whole]), limit=PIECE):
+                for lang in set(b.column(0).to_pylist()):
+                    data, offsets, rows = _bytes(b.filter(pa.compute.equal(b.column(0), lang)).column(1))
+                    if len(rows):
+                        codes, n = np.unique(gram_codes(data, offsets, order), return_counts=True)
+                        yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(codes), pa.string()), "code": pa.array(codes.view(np.int64)), "n": pa.array(n)})
         release()
 
-
-    table = sample.select("lang", "text").mapInArrow(counted, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
+    # bounded by the sample: a row a language, context and byte that occur in it
+    table = sample.select("lang", "text").mapInArrow(counted, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(share)
-    grams = {x: (g["code"].to_numpy(), g["n"].to_numpy(dtype=np.float32)) for x in langs for g in [table[table["lang"] == x]]}
-    return langs, symbol_of, symbols, grams, order
+    codes, inverse = np.unique(table["code"].to_numpy(dtype=np.int64).view(np.uint64), return_inverse=True)
+    counts = np.zeros((len(codes), len(langs)), np.float32)
+    np.add.at(counts, (inverse, np.searchsorted(langs, table["lang"].to_numpy(dtype=str))), table["n"].to_numpy(dtype=np.float32))
+    return uuid.uuid4().hex, langs, codes, counts, order
+
+
+@functools.lru_cache(maxsize=1)
+def _newest() -> dict[str, ContextTrees]:
+    return {}
+
+
+def trees_of(model) -> ContextTrees:
+    """A worker's trees of the model that it used last."""
+    name, *rest = model
+    held = _newest()
+    if name not in held:
+        held.clear()
+        held[name] = ContextTrees(*rest)
+    return held[name]
 
 
 def _lettered(data: np.ndarray, offsets: np.ndarray, column: pa.Array, rows: np.ndarray) -> np.ndarray:
@@ -157,19 +215,15 @@ def _lettered(data: np.ndarray, offsets: np.ndarray, column: pa.Array, rows: np.
 def identify(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, lang_pred, score, bits_per_byte and the columns ``keep`` of every row, by a trained model."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded: languages x symbols ** (order + 1) counts at most
-    held: list[ContextTrees] = []
+    shared = spark.sparkContext.broadcast(model)  # bounded by the training sample
 
     def kernel(part: pa.RecordBatch) -> dict:
-        if shared.value is not None and not held:
-            langs, symbol_of, symbols, grams, order = shared.value
-            held.append(ContextTrees(langs, symbol_of, symbols, grams, order))
+        trees = trees_of(shared.value) if shared.value is not None else None
         n = part.num_rows
         pred, score, rate = np.full(n, "und", dtype=object), np.zeros(n), np.zeros(n)
         column = part.column(0)
         data, offsets, rows = _bytes(column)
-        if held and len(rows):
-            trees = held[0]
+        if trees and len(rows):
             ok = _lettered(data, offsets, column, rows)
             bits = trees.lengths(data, offsets)
             best = bits.argmin(axis=1)
@@ -185,8 +239,6 @@ def identify(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "te
     schema = ", ".join(f"`{c}` {t}" for c, t in types.items()) + ", lang_pred string, score double, bits_per_byte double"
 
     def run(batches):
-        from .common import slices
-
         for part in slices(batches, limit=PIECE):
             yield pa.RecordBatch.from_pydict(kernel(part))
             release()
@@ -202,10 +254,17 @@ def language_ids(docs: DataFrame) -> DataFrame:
 
 
 def with_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is known: those without a letter or a text (``und``) go."""
+    """The rows of ``docs`` whose language can be told, a null ``lang`` set to the one that was told.
+
+    Texts without a letter go, and texts that the best language codes in BLANK bits a byte or more: as long as without
+    any statistics.  Where no row can teach, all texts with a letter stay as they are.  Null texts go; repeated rows stay.
+    """
     held_out = crc_mod("doc_id", 4) == 2
     model = train(docs.filter(~held_out))
-    renamed = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(docs.columns)])
+    if model is None:
+        return docs.filter(docs["text"].rlike(r"\p{L}"))
     at = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[docs[c].alias(v) for c, v in at.items()])
     named = identify(renamed, model, id_col=at["doc_id"], text_col=at["text"], keep=tuple(v for k, v in at.items() if k != "doc_id"))
-    return named.filter("lang_pred <> 'und'").select(*[named[v].alias(k) for k, v in at.items()])
+    kept = named.filter((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < BLANK))
+    return kept.select(*[(F.coalesce(kept[v], kept["lang_pred"]) if k == "lang" else kept[v]).alias(k) for k, v in at.items()])
