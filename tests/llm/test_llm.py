@@ -32,14 +32,14 @@ ODD = ["", None, " ", "\t\n", "a", "a b", "<|endoftext|> it's", "İstanbul ΣΑ
 
 
 def _run(spark, name, d):
-    from tidelark.llm import decontam, langid, piece_codec, quality, sharding, simhash, substrings, token_counts, toxicity
+    from tidelark.llm import decontam, langid, nearcopies, piece_codec, quality, sharding, simhash, substrings, token_counts, toxicity
 
     labels = spark.createDataFrame([(0, 1, 0), (1, 0, 1), (None, 1, None)], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([(1, "a b"), (None, None)], "item_id long, text string")
     return {
         "op1": lambda: toxicity.document_toxicity(d, labels), "op2": lambda: simhash.near_duplicates(d), "op3": lambda: quality.document_quality(d, labels), "op4": lambda: substrings.repeat_digests(d),
         "op5": lambda: decontam.contamination(d, bench), "op6": lambda: token_counts.token_counts(d), "op7": lambda: langid.language_ids(d), "op8": lambda: sharding.hilbert_shards(d), "op9": lambda: piece_codec.encode_digests(d),
-        "one_per_group": lambda: simhash.one_per_group(d), "with_language": lambda: langid.with_language(d), "deduplicated": lambda: substrings.deduplicated(d), "cut_spans": lambda: decontam.cut_spans(d, decontam.mark(d, bench)),
+        "one_per_group": lambda: simhash.one_per_group(d), "near_one_per_group": lambda: nearcopies.one_per_group(d), "with_language": lambda: langid.with_language(d), "deduplicated": lambda: substrings.deduplicated(d), "decontaminated": lambda: decontam.decontaminated(d, bench),
     }[name]()
 
 
@@ -51,11 +51,11 @@ def test_odd_tables(spark, name):
     assert _run(spark, name, d.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["one_per_group", "with_language", "deduplicated", "cut_spans"])
+@pytest.mark.parametrize("name", ["one_per_group", "near_one_per_group", "with_language", "deduplicated", "decontaminated"])
 def test_stages_keep_the_columns(spark, name):
-    d = docs(spark, [*ODD, "a", "some words of a text here"]).withColumns({"fp": F.lit(2), "lang_pred": F.lit("z"), "rid": F.lit(3)})
+    d = docs(spark, [*ODD, "a", "some words of a text here"]).withColumns({c: F.lit(7) for c in ("fp", "lang_pred", "rid", "_rid", "node", "root", "_spans", "_hits", "_items", "_n_words", "c0", "_0", "dest")})
     out = _run(spark, name, d)
-    assert out.columns == d.columns and out.count() <= d.count()
+    assert out.columns == d.columns and out.count() <= d.count() and out.filter("_rid <> 7 OR _spans <> 7 OR c0 <> 7 OR _0 <> 7 OR node <> 7").count() == 0
     assert _run(spark, name, d.limit(0)).count() == 0
 
 
@@ -394,7 +394,7 @@ def test_spans_are_cut_from_texts(spark):
 
     d = docs(spark, ["Keep me. ONE two Three, four! Keep too.", "clean"])
     bench = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
-    out = [r["text"] for r in decontam.cut_spans(d, decontam.mark(d, bench)).orderBy("doc_id").collect()]
+    out = [r["text"] for r in decontam.decontaminated(d, bench).orderBy("doc_id").collect()]
     assert out == ["Keep me. ! Keep too.", "clean"]
 
 

@@ -6,8 +6,9 @@ Burrows-Wheeler transform, wavelet tree of the transform's symbols with rank cou
 sampled by text position.  All windows are searched backward at once; their rows are walked to the next sampled
 position, which gives the words they cover; overlapping covers merge into removal spans.
 
-The benchmark is read in chunks of at most ``CHUNK_BYTES`` of text, one broadcast each, and the documents pass the
-chunks in turn; so no broadcast grows with the benchmark.
+The benchmark is read in chunks of at most ``CHUNK_BYTES`` of text (some 180 MB of the driver's memory while a chunk's
+windows are named), one broadcast each, and the documents pass the chunks in turn; so no broadcast grows with the
+benchmark.
 
 Defined results: null or wordless texts have no words, no windows and no hits; items are told apart by id (a null id
 is the empty string); repeated items and documents count as they stand; an empty benchmark leaves all clean.
@@ -21,12 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bounded, release, slices
+from .common import bounded, checkpointed, release, slices
 from .langid import _bytes
 
 WINDOW = 10
-CHUNK_BYTES = 8 << 20
-SHARD_BYTES = 2 << 20
+CHUNK_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SAMPLE_EVERY = 8
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -132,7 +133,7 @@ class WaveletTree:
         level = symbols
         for b in range(self.bits - 1, -1, -1):
             bit = level >> b & 1
-            self.ones.append(np.append(0, np.cumsum(bit)))
+            self.ones.append(np.append(0, np.cumsum(bit)).astype(np.int32 if len(bit) < 1 << 31 else np.int64))
             self.zeros.append(int(len(bit) - bit.sum()))
             level = np.concatenate([level[bit == 0], level[bit == 1]])
 
@@ -156,7 +157,8 @@ class FmIndex:
         self.tree = WaveletTree(self.last, top)
         self.before = np.append(0, np.cumsum(np.bincount(text, minlength=top + 1)))  # suffixes of smaller symbols
         self.sampled = order % every == 0
-        self.sample = np.where(self.sampled, order, -1)
+        self.sample = order[self.sampled].astype(np.int32 if self.n < 1 << 31 else np.int64)  # one position of ``every``
+        self.nth = np.cumsum(self.sampled, dtype=np.int32 if self.n < 1 << 31 else np.int64) - 1
 
     def search(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows [lo, hi) of the suffixes that start with each right-aligned pattern."""
@@ -179,7 +181,7 @@ class FmIndex:
             rows[todo] = self.before[c] + self.tree.rank(c, r)
             steps[todo] += 1
             todo = todo[~self.sampled[rows[todo]]]
-        return self.sample[rows] + steps
+        return self.sample[self.nth[rows]] + steps
 
 
 def find(words: Words, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
@@ -236,16 +238,21 @@ def _spans(flags: np.ndarray, words: Words, lo: int, hi: int, base: int) -> np.n
     return np.column_stack([words.starts[lo + edge[::2]] - base, words.ends[lo + edge[1::2] - 1] - base]).astype(np.int64)
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", id_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``docs`` with _n_words (long), _hits (packed words hit), _items (array of item ids), _spans (array of byte spans)."""
+_EXTRA = ("_n_words", "_hits", "_items", "_spans")
+
+
+def _searched(docs: DataFrame, benchmark: DataFrame, finish, schema: str, window: int, place: int, id_col: str, item_text: str) -> DataFrame:
+    """``finish`` (batch of docs and the _EXTRA columns -> batch of ``schema``) of every slice, searched for all windows.
+
+    A chunk of the benchmark is one pass; what the passes before the last found is written between them.
+    """
     spark = bounded(docs).sparkSession
     own = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _n_words long, _hits binary, _items array<string>, _spans array<array<long>>"
-    place = own.index(text_col)
+    marked = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _n_words long, _hits binary, _items array<string>, _spans array<array<long>>"
 
-    def against(shared, first: bool):
+    def against(shared, first: bool, last: bool):
         def run(batches):
-            for part in slices(batches, text_col, SHARD_BYTES):
+            for part in slices(batches, own[place], SHARD_BYTES):
                 windows = shared.value if shared is not None else Windows([])
                 n = part.num_rows
                 column = part.column(place)
@@ -277,58 +284,73 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
                             spans[row] = _spans(flags, words, lo, hi, int(offsets[i])).tolist()
                 out = [part.column(i) for i in range(len(own))]
                 out += [pa.array(n_words), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.list_(pa.int64())))]
-                yield pa.RecordBatch.from_arrays(out, names=[*own, "_n_words", "_hits", "_items", "_spans"])
-                del part, column, data, out
+                made = pa.RecordBatch.from_arrays(out, names=[*own, *_EXTRA])
+                yield finish(made) if last else made
+                del part, column, data, out, made
                 words = cover = flags = None
                 release()
 
         return run
 
-    out, first = docs, True
+    out, held, first = docs, None, True
     for chunk in _chunks(benchmark, id_col, item_text):
-        out = out.mapInArrow(against(spark.sparkContext.broadcast(Windows(chunk, window)), first), schema)
-        first = False
-    return out.mapInArrow(against(None, True), schema) if first else out
+        if held is not None:
+            out, first = checkpointed(out.mapInArrow(against(held, first, False), marked)), False
+            held.unpersist()
+        held = spark.sparkContext.broadcast(Windows(chunk, window))
+    return out.mapInArrow(against(held, first, True), schema)
+
+
+def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", id_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` with _n_words (long), _hits (packed words hit), _items (array of item ids), _spans (array of byte spans).
+
+    Columns of those names in ``docs`` are replaced.
+    """
+    docs = docs.drop(*_EXTRA)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", _n_words long, _hits binary, _items array<string>, _spans array<array<long>>"
+    return _searched(docs, benchmark, lambda batch: batch, schema, window, docs.columns.index(text_col), id_col, item_text)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_spans, removed_bytes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def digest(batches):
-        for b in batches:
-            hits, items, spans = b.column("_hits").to_pylist(), b.column("_items").to_pylist(), b.column("_spans").to_pylist()
-            n_hit = [int(np.unpackbits(np.frombuffer(h, np.uint8)).sum()) if h else 0 for h in hits]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "n_words": b.column("_n_words"), "n_hit": pa.array(n_hit, pa.int64()),
-                "n_items": pa.array([len(x) for x in items], pa.int64()),
-                "items_sha256": pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
-                "contaminated": pa.array([x > 0 for x in n_hit]),
-                "n_spans": pa.array([len(x) for x in spans], pa.int64()),
-                "removed_bytes": pa.array([sum(e - s for s, e in x) for x in spans], pa.int64()),
-            })
-
-    marked = mark(docs.select("doc_id", "text"), benchmark).select("doc_id", "_n_words", "_hits", "_items", "_spans")
-    return marked.mapInArrow(digest, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_spans long, removed_bytes long")
-
-
-def cut_spans(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """The columns of ``docs`` with the marked spans cut out of the text and n_chars counted anew."""
+    def digest(b: pa.RecordBatch) -> pa.RecordBatch:
+        hits, items, spans = b.column("_hits").to_pylist(), b.column("_items").to_pylist(), b.column("_spans").to_pylist()
+        n_hit = [int(np.unpackbits(np.frombuffer(h, np.uint8)).sum()) if h else 0 for h in hits]
+        return pa.RecordBatch.from_pydict({
+            "doc_id": b.column("doc_id"), "n_words": b.column("_n_words"), "n_hit": pa.array(n_hit, pa.int64()),
+            "n_items": pa.array([len(x) for x in items], pa.int64()),
+            "items_sha256": pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
+            "contaminated": pa.array([x > 0 for x in n_hit]),
+            "n_spans": pa.array([len(x) for x in spans], pa.int64()),
+            "removed_bytes": pa.array([sum(e - s for s, e in x) for x in spans], pa.int64()),
+        })
+
+    schema = f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_spans long, removed_bytes long"
+    return _searched(docs.select("doc_id", "text"), benchmark, digest, schema, WINDOW, 1, "item_id", "text")
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The columns of ``docs`` with the words of benchmark windows cut out of the text (from the first to the last of
+    each run) and n_chars counted anew.  Null texts and rows without a hit stay as they are; any column name may stand.
+    """
     own = docs.columns
     place = own.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
-    def run(batches):
-        for part in slices(batches):
-            texts, spans = part.column(place).to_pylist(), part.column(len(own)).to_pylist()
-            made = [_without(t, s) if s else t for t, s in zip(texts, spans)]
-            out = [part.column(i) for i in range(len(own))]
-            out[place] = pa.array(made, pa.string())
-            if "n_chars" in own:
-                out[own.index("n_chars")] = pa.array([None if t is None else len(t) for t in made], part.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays(out, names=own)
-
-    return marked.select(*own, "_spans").mapInArrow(run, schema)
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, spans = batch.column(place).to_pylist(), batch.column("_spans").to_pylist()
+        made = [_without(t, s) if s else t for t, s in zip(texts, spans)]
+        out = [batch.column(i) for i in range(len(own))]
+        out[place] = pa.array(made, pa.string())
+        if "n_chars" in own:
+            at = own.index("n_chars")
+            out[at] = pa.array([None if t is None else len(t) for t in made], batch.schema.field(at).type)
+        return pa.RecordBatch.from_arrays(out, names=own)
+
+    renamed = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(own)])
+    return _searched(renamed, benchmark, cut, schema, window, place, "item_id", "text")
 
 
 def _without(text: str, spans: list[list[int]]) -> str:

@@ -169,10 +169,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_per_group(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` but one of each group of near duplicates: its least id (of equal ids, one row)."""
-    keyed = docs.withColumn("_rid", F.xxhash64("doc_id", "text"))
+    keyed, restored = named_rows(docs)
     groups = grouped(checkpointed(fingerprints(keyed, keep=("_rid",), shingle=shingle)), "doc_id", radius)
     # a null id is no document's least while the group has another
     head = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_rid")))
     heads = groups.groupBy("root").agg(head.alias("h")).select(F.col("h._rid").alias("_rid"))
     # equal rows have one _rid and meet here, already dealt by it
-    return keyed.join(heads, "_rid", "left_semi").dropDuplicates(["_rid"]).select(*docs.columns)
+    return restored(keyed.join(heads, "_rid", "left_semi").dropDuplicates(["_rid", "doc_id"]))
+
+
+def named_rows(docs: DataFrame):
+    """(doc_id, text, _rid, which names a row by id and text, and the other columns under names of their own; the way back)."""
+    at = {c: c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[docs[c].alias(v) for c, v in at.items()])
+    return renamed.withColumn("_rid", F.xxhash64("doc_id", "text")), lambda rows: rows.select(*[rows[v].alias(c) for c, v in at.items()])
