@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analytics, governance, rules, text  # noqa: F401  (they register their queries)
+from . import analytics, governance, rules, scans, text  # noqa: F401  (they register their queries)
 from .base import ORACLES, QUERIES
 
 

@@ -33,15 +33,6 @@ def g01_apply_review(spark, d):
     return out.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-@query("WITH b AS (SELECT c_custkey AS k, c_name AS v FROM customer WHERE c_custkey < 1000), a AS (SELECT * FROM b UNION ALL SELECT s_suppkey + 950, s_name FROM supplier WHERE s_suppkey + 950 NOT IN (SELECT k FROM b)), u AS (SELECT k, CASE WHEN k % 10 = 0 THEN 'new' ELSE v END AS v FROM a) SELECT * FROM u WHERE k % 7 <> 0")
-def g02_patch(spark, d):
-    cust = read(spark, d, "customer").select(c("c_custkey").alias("k"), c("c_name").alias("v"))
-    base = cust.filter("k < 1000")
-    added = G.patch_append(base, read(spark, d, "supplier").select((c("s_suppkey") + 950).alias("k"), c("s_name").alias("v")), ["k"])
-    updated = G.patch_update(added, added.filter("k % 10 = 0").select("k", F.lit("new").alias("v")), "k")
-    return G.patch_remove(updated, cust.filter("k % 7 = 0").union(read(spark, d, "supplier").filter("(s_suppkey + 950) % 7 = 0").select(c("s_suppkey") + 950, "s_name")), "k")
-
-
 _OFFSET = "(SELECT (SELECT max(c_custkey) FROM customer) - (SELECT count(*) FROM supplier) // 2)"
 
 
@@ -74,9 +65,9 @@ def g05_merge_sources(spark, d):
     return G.merge_sources([(s, g.filter(c("s") == s).drop("s")) for s in ("project", "base")], ["term"], "seq").select("term", "target", "scope", "seq")
 
 
-@query(cte("glossary") + "SELECT seq FROM glossary WHERE status = 'approved' AND lower(target) IN (SELECT lower(p_type) || ' 0' FROM part WHERE p_partkey < 3)")
+@query(cte("glossary") + "SELECT seq FROM glossary WHERE status = 'approved' AND lower(target) IN (SELECT lower(p_type) || ' 0' FROM part WHERE p_size = 50)")
 def g06_style_conflicts(spark, d):
-    banned = read(spark, d, "part").filter("p_partkey < 3").select(F.concat("p_type", F.lit(" 0")).alias("w"))
+    banned = read(spark, d, "part").filter("p_size = 50").select(F.concat("p_type", F.lit(" 0")).alias("w"))
     return G.style_conflicts(bound(spark, d, "glossary"), banned, "target", "w").select("seq")
 
 
@@ -90,15 +81,19 @@ def g08_prompt_summary(spark, d):
     return G.prompt_summary(bound(spark, d, "glossary"), "term", "target", c("scope") == "ip", "seq")
 
 
-_DELTA = ", delta AS (SELECT substring(p_name, 1, 4) AS term, min(substring(p_type, 1, 3)) AS old, CASE WHEN min(p_partkey) % 3 = 0 THEN 'added' WHEN min(p_partkey) % 3 = 1 THEN 'modified' ELSE 'deleted' END AS change FROM part GROUP BY 1)"
+_WORDS = ", words AS (SELECT unnest(string_split(p_name, ' ')) AS term, p_type, p_partkey FROM part)"
+_DELTA = _WORDS + ", delta AS (SELECT term, min(p_type) AS old, CASE WHEN min(p_partkey) % 3 = 0 THEN 'added' WHEN min(p_partkey) % 3 = 1 THEN 'modified' ELSE 'deleted' END AS change FROM words GROUP BY 1)"
 _CLASS = "CASE " + " ".join(f"WHEN regexp_matches(lower(trim(module)), '{p}') THEN '{k}'" for k, p in R.CONTENT_CLASSES.items()) + " ELSE 'general' END"
 
 
-@query("WITH docs AS (SELECT doc_id, text, lang || upper(substring(text, 1, 3)) AS target, CASE doc_id % 4 WHEN 0 THEN 'menu' WHEN 1 THEN 'story' ELSE 'other' END AS module FROM documents)" + _DELTA + f", k AS (SELECT doc_id, change FROM docs JOIN delta ON contains(text, term) UNION ALL SELECT doc_id, change FROM docs JOIN delta ON change <> 'added' AND old <> '' AND contains(target, old)), s AS (SELECT doc_id, list_sort(list(DISTINCT CASE change WHEN 'added' THEN 'term_added' WHEN 'modified' THEN 'term_changed' ELSE 'term_removed' END)) AS t FROM k GROUP BY doc_id), r AS (SELECT doc_id, t, {_CLASS} AS class FROM docs JOIN s USING (doc_id)) SELECT doc_id, array_to_string(t, ',') AS delta_types, class AS content_class, CASE WHEN class = 'ui_button' THEN 'manual_review' WHEN list_contains(t, 'term_removed') THEN 'manual_review' ELSE 'auto_refresh' END AS action FROM r")
+_IMPACTS = f", k AS (SELECT doc_id, change FROM docs JOIN delta ON contains(text, term) UNION ALL SELECT doc_id, change FROM docs JOIN delta ON change <> 'added' AND old <> '' AND contains(target, old)), s AS (SELECT doc_id, list_sort(list(DISTINCT CASE change WHEN 'added' THEN 'term_added' WHEN 'modified' THEN 'term_changed' ELSE 'term_removed' END)) AS t FROM k GROUP BY doc_id), r AS (SELECT doc_id, t, {_CLASS} AS class FROM docs JOIN s USING (doc_id)) SELECT doc_id, array_to_string(t, ',') AS delta_types, class AS content_class, CASE WHEN class = 'ui_button' THEN 'manual_review' WHEN list_contains(t, 'term_removed') THEN 'manual_review' ELSE 'auto_refresh' END AS action FROM r"
+
+
+@query("WITH docs AS (SELECT doc_id, text, lang || ' ' || upper(text) AS target, CASE doc_id % 4 WHEN 0 THEN 'menu' WHEN 1 THEN 'story' ELSE 'other' END AS module FROM documents)" + _DELTA + _IMPACTS)
 def g09_row_impacts(spark, d):
-    docs = read(spark, d, "documents").selectExpr("doc_id", "text", "lang || upper(substring(text, 1, 3)) AS target", "CASE doc_id % 4 WHEN 0 THEN 'menu' WHEN 1 THEN 'story' ELSE 'other' END AS module")
+    docs = read(spark, d, "documents").selectExpr("doc_id", "text", "lang || ' ' || upper(text) AS target", "CASE doc_id % 4 WHEN 0 THEN 'menu' WHEN 1 THEN 'story' ELSE 'other' END AS module")
     m = F.min("p_partkey")
-    delta = read(spark, d, "part").groupBy(F.substring("p_name", 1, 4).alias("term")).agg(F.min(F.substring("p_type", 1, 3)).alias("old"), F.when(m % 3 == 0, "added").when(m % 3 == 1, "modified").otherwise("deleted").alias("change"))
+    delta = read(spark, d, "part").select("p_partkey", "p_type", F.explode(F.split("p_name", " ")).alias("term")).groupBy("term").agg(F.min("p_type").alias("old"), F.when(m % 3 == 0, "added").when(m % 3 == 1, "modified").otherwise("deleted").alias("change"))
     out = G.row_impacts(docs, delta, "doc_id", "text", "target", "module")
     return out.select("doc_id", F.concat_ws(",", "delta_types").alias("delta_types"), "content_class", "action")
 
@@ -260,7 +255,7 @@ def p03_w08_token_numbers(spark, d):
     return token_map(read(spark, d, "pages").select("page_id", F.concat_ws(" ", tags).alias("t")), "t", "page_id")
 
 
-@query()
+@query(cte("ui") + "SELECT string_id, replace(source_zh, '{0}', '⟦PH_1⟧') AS tokenized FROM ui")
 def p03_freeze(spark, d):
     from ..operators.freeze import freeze
 
@@ -275,17 +270,27 @@ def plan_deliver(spark, d):
     return deliver(bound(spark, d, "ui").select("string_id", "seq", "source_zh"))["delivered"].select("string_id")
 
 
-@query()
+_OLD = "SELECT split_part(p_name, ' ', 1) AS term, p_type FROM part UNION ALL SELECT split_part(p_name, ' ', 2), p_type FROM part WHERE p_size <= 25"
+_CHANGED = f", a AS (SELECT term, min(p_type) AS t FROM ({_OLD}) GROUP BY 1), b AS (SELECT split_part(p_name, ' ', 2) AS term, max(p_type) AS t FROM part GROUP BY 1), delta AS (SELECT coalesce(a.term, b.term) AS term, coalesce(a.t, '') AS old, CASE WHEN a.term IS NULL THEN 'added' WHEN b.term IS NULL THEN 'deleted' ELSE 'modified' END AS change FROM a FULL JOIN b ON a.term = b.term WHERE a.t IS DISTINCT FROM b.t)"
+
+
+@query(cte("strings") + ", docs AS (SELECT string_id AS doc_id, source_text AS text, target_text AS target, module FROM strings)" + _CHANGED + _IMPACTS.replace("SELECT doc_id, array_to_string(t, ',') AS delta_types, class AS content_class,", "SELECT doc_id AS string_id, array_to_string(t, ',') AS delta_types,"))
 def plan_refresh(spark, d):
     from ..plans.refresh import refresh
 
     rows = bound(spark, d, "strings").select("string_id", c("source_text").alias("source"), c("target_text").alias("target"), c("module").alias("module_tag"))
     part = read(spark, d, "part")
-    terms = lambda n: part.filter(c("p_partkey") % n != 0).groupBy(F.substring("p_name", 1, 4).alias("term")).agg(F.min(F.substring("p_type", 1, n)).alias("target"))
-    return refresh(rows, terms(3), terms(4))["impacts"].select("string_id", F.concat_ws(",", "delta_types").alias("delta_types"), "action")
+    word = lambda i: F.split_part("p_name", F.lit(" "), F.lit(i)).alias("term")
+    old = part.select(word(1), "p_type").union(part.filter("p_size <= 25").select(word(2), "p_type")).groupBy("term").agg(F.min("p_type").alias("target"))
+    new = part.select(word(2), "p_type").groupBy("term").agg(F.max("p_type").alias("target"))
+    return refresh(rows, old, new)["impacts"].select("string_id", F.concat_ws(",", "delta_types").alias("delta_types"), "action")
+
+
+_USED = "count(*) AS batches, sum(batch_rows) AS rows, sum(CASE WHEN status = 'ok' THEN batch_rows ELSE 0 END) AS success, sum(CASE WHEN status <> 'ok' THEN batch_rows ELSE 0 END) AS failed, sum(latency_ms) AS latency_ms, sum(p) AS prompt, sum(q) AS completion, round(sum((p + q) * rate / 1e6::DOUBLE), 6) AS cost"
+_PRICED = ", t AS (SELECT *, CAST(coalesce(prompt_tokens, ceil(req_chars / 4)) AS BIGINT) AS p, CAST(coalesce(completion_tokens, ceil(resp_chars / 4)) AS BIGINT) AS q, CASE model WHEN 'm0' THEN 0.4::DOUBLE WHEN 'm1' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS rate FROM trace)"
 
 
-@query()
+@query(cte("trace") + _PRICED + f" SELECT 'all' AS level, '' AS key, {_USED} FROM t UNION ALL SELECT 'step', step, {_USED} FROM t GROUP BY step UNION ALL SELECT 'model', model, {_USED} FROM t GROUP BY model")
 def plan_metrics(spark, d):
     from ..plans.refresh import metrics
 

@@ -179,13 +179,6 @@ def j13_no_regression(spark, d):
     return J.new_findings(li.filter("l_linenumber > 3"), li.filter("l_linenumber <= 3"), ["l_orderkey", "l_returnflag"])
 
 
-@query("SELECT s_suppkey, s_nationkey FROM supplier WHERE (s_nationkey, s_suppkey % 5) NOT IN (SELECT c_nationkey, c_custkey % 5 FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_custkey < 200)")
-def j14_rejected_pairs(spark, d):
-    left = read(spark, d, "supplier").withColumn("m", c("s_suppkey") % 5).withColumnRenamed("s_nationkey", "n")
-    right = read(spark, d, "customer").filter("c_mktsegment = 'MACHINERY' AND c_custkey < 200").select(c("c_nationkey").alias("n"), (c("c_custkey") % 5).alias("m"))
-    return left.join(right, ["n", "m"], "left_anti").select("s_suppkey", c("n").alias("s_nationkey"))
-
-
 @query("WITH n AS (SELECT count(*) AS n FROM supplier) SELECT s_suppkey, s_nationkey FROM supplier, n WHERE (s_nationkey, s_suppkey % n) NOT IN (SELECT c_nationkey, c_custkey % n FROM customer, n WHERE c_mktsegment = 'MACHINERY')")
 def j14_rejected_pairs_table(spark, d):
     """Every MACHINERY customer can reject; keys modulo the number of suppliers leave both outcomes at every size."""
@@ -202,19 +195,16 @@ def j15_approved_conflict(spark, d):
     return J.without_conflict(g.filter("status = 'proposed'"), g.filter("status = 'approved' AND scope = 'project'"), "term", "target").select("seq")
 
 
-_TERMS = ", terms AS (SELECT DISTINCT substring(p_name, 1, 3) AS term FROM part)"
-
-
-@query("WITH terms AS (SELECT DISTINCT substring(p_name, 1, 3) AS term FROM part), m AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY term) AS rank FROM documents JOIN terms ON contains(text, term)) SELECT doc_id, term, rank FROM m WHERE rank <= 20")
+@query("WITH terms AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS term FROM part), m AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY term) AS rank FROM documents JOIN terms ON contains(text, term)) SELECT doc_id, term, rank FROM m WHERE rank <= 20")
 def j16_contained_terms(spark, d):
-    terms = read(spark, d, "part").select(F.substring("p_name", 1, 3).alias("term")).distinct()
+    terms = read(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("term")).distinct()
     m = H.contains_join(read(spark, d, "documents").select("doc_id", "text"), terms, "text", "term").select("doc_id", "term")
     return m.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy("term"))).filter("rank <= 20")
 
 
-@query("WITH terms AS (SELECT substring(p_name, 1, 3) AS term, min(p_partkey) AS seq FROM part GROUP BY 1), m AS (SELECT doc_id, arg_min(term, seq) AS term FROM documents JOIN terms ON contains(text, term) AND NOT contains(lower(lang), term) GROUP BY doc_id) SELECT * FROM m")
+@query("WITH terms AS (SELECT term, min(seq) AS seq FROM (SELECT unnest(string_split(p_name, ' ')) AS term, p_partkey AS seq FROM part) GROUP BY 1), m AS (SELECT doc_id, arg_min(term, seq) AS term FROM documents JOIN terms ON contains(text, term) AND NOT contains(lower(lang), term) GROUP BY doc_id) SELECT * FROM m")
 def j18_first_violation(spark, d):
-    terms = read(spark, d, "part").groupBy(F.substring("p_name", 1, 3).alias("term")).agg(F.min("p_partkey").alias("seq"))
+    terms = read(spark, d, "part").select("p_partkey", F.explode(F.split("p_name", " ")).alias("term")).groupBy("term").agg(F.min("p_partkey").alias("seq"))
     return J.first_violation(read(spark, d, "documents"), terms, "doc_id", "text", "lang", "term", "term", "seq").select("doc_id", "term")
 
 
@@ -232,11 +222,11 @@ def j23_last_trace(spark, d):
     return t.join(last, ["step", "model"], "left").select("request_id", F.coalesce("prompt_tokens", "p").alias("prompt"))
 
 
-@query(cte("trace") + ", l AS (SELECT * FROM trace WHERE seq % 3 = 0), r AS (SELECT * FROM trace WHERE seq % 3 = 1) SELECT l.request_id, CASE WHEN r.ts IS NOT NULL AND epoch_us(l.ts) - epoch_us(r.ts) <= (l.latency_ms + 600000) * 1000 THEN r.request_id END AS matched FROM l ASOF LEFT JOIN r ON l.step = r.step AND l.ts >= r.ts")
+@query(cte("trace") + ", l AS (SELECT * FROM trace WHERE seq % 2 = 0), r AS (SELECT * FROM trace WHERE seq % 2 = 1) SELECT l.request_id, CASE WHEN r.ts IS NOT NULL AND epoch_us(l.ts) - epoch_us(r.ts) <= (l.latency_ms + 600000) * 1000 THEN r.request_id END AS matched FROM l ASOF LEFT JOIN r ON l.step = r.step AND l.ts >= r.ts")
 def j24_asof_backward(spark, d):
     t = bound(spark, d, "trace")
-    left = t.filter("seq % 3 = 0").select("request_id", "step", "ts", "latency_ms")
-    right = t.filter("seq % 3 = 1").select("step", c("ts").alias("rts"), c("request_id").alias("rid"))
+    left = t.filter("seq % 2 = 0").select("request_id", "step", "ts", "latency_ms")
+    right = t.filter("seq % 2 = 1").select("step", c("ts").alias("rts"), c("request_id").alias("rid"))
     return H.asof_backward(left, right, ["step"], "ts", "rts", c("rid"), c("latency_ms") / 1000 + 600).select("request_id", "matched")
 
 
@@ -246,12 +236,6 @@ def j26_candidate_ids(spark, d):
     return read(spark, d, "supplier").withColumnRenamed("s_nationkey", "k").join(ids, "k", "left_semi").join(read(spark, d, "nation"), c("k") == c("n_nationkey")).groupBy("n_name").agg(F.count("*").alias("n"))
 
 
-@query("SELECT doc_id, item_id FROM documents JOIN benchmark ON regexp_replace(substring(documents.text, 1, 2), '\\s+', '', 'g') = regexp_replace(substring(benchmark.text, 1, 2), '\\s+', '', 'g')")
-def j28_normalised_join(spark, d):
-    key = lambda x: strip_spaces(F.substring(x, 1, 2))
-    return read(spark, d, "documents").select("doc_id", key("text").alias("k")).join(read(spark, d, "benchmark").select("item_id", key("text").alias("k")), "k").select("doc_id", "item_id")
-
-
 @query("WITH s AS (SELECT doc_id AS id, text FROM documents UNION ALL SELECT -1 - item_id, replace(text, ' ', '  ') FROM benchmark) SELECT id, item_id FROM s JOIN benchmark ON regexp_replace(coalesce(s.text, ''), '\\s+', '', 'g') = regexp_replace(coalesce(benchmark.text, ''), '\\s+', '', 'g')")
 def j28_normalised_join_whole(spark, d):
     """Whole texts: documents, and items spaced otherwise (with negative ids), against the items."""
@@ -408,7 +392,10 @@ def m06_mixed_batches(spark, d):
     return J.mixed_batches(read(spark, d, "documents"), "doc_id", c("n_chars") < 300, 6, 4).select("doc_id", c("batch").cast("long").alias("batch"))
 
 
-@query()
+_PACKED = "WITH RECURSIVE d AS (SELECT doc_id, source, CAST(greatest(1, length(coalesce(text, '')) // 4) AS BIGINT) AS tokens, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents), f AS (SELECT doc_id, source, tokens, rn, 0 AS batch, 1 AS items, tokens AS used FROM d WHERE rn = 1 UNION ALL SELECT d.doc_id, d.source, d.tokens, d.rn, f.batch + CASE WHEN f.items >= 20 OR f.used + d.tokens > 6000 THEN 1 ELSE 0 END, CASE WHEN f.items >= 20 OR f.used + d.tokens > 6000 THEN 1 ELSE f.items + 1 END, CASE WHEN f.items >= 20 OR f.used + d.tokens > 6000 THEN d.tokens ELSE f.used + d.tokens END FROM f JOIN d ON d.source IS NOT DISTINCT FROM f.source AND d.rn = f.rn + 1) SELECT doc_id, source, tokens, batch FROM f"
+
+
+@query(_PACKED)
 def m08_ordered_packing(spark, d):
     rows = read(spark, d, "documents").select("doc_id", "source", estimate_tokens(c("text")).alias("tokens"))
     return H.ordered_pack(rows, "source", "doc_id", "tokens", 20, 6000)

@@ -41,6 +41,21 @@ def at_limit(trace: DataFrame, completion: str, limit: Column, share: float = 0.
     return trace.agg(F.count("*").alias("calls"), F.count_if(hit).alias("hits")).withColumn("ratio", F.round(F.col("hits") / F.greatest(F.col("calls"), F.lit(1)), 6))
 
 
+def limit_anomalies(trace: DataFrame, completion: str, limit: str, share: float = 0.98, most: int = 5) -> DataFrame:
+    """One row: calls, calls at ``share`` of their (positive) limit, ratio, and the steps and models that have most of them.
+
+    Counts are by step and model first, so the lists are made of a few rows; ties go by name.
+    """
+    hit = (F.col(limit) > 0) & (F.coalesce(F.col(completion), F.lit(0)) >= F.col(limit) * share)
+    per = trace.groupBy("step", "model").agg(F.count("*").alias("calls"), F.count_if(hit).alias("hits"))
+    whole = per.agg(F.sum("calls").alias("calls"), F.sum("hits").alias("hits")).withColumn("ratio", F.round(F.col("hits") / F.greatest(F.col("calls"), F.lit(1)), 4))
+    for name in ("step", "model"):
+        top = per.groupBy(name).agg(F.sum("hits").alias("n")).filter("n > 0").orderBy(F.desc("n"), name).limit(most)
+        listed = top.agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct(-F.col("n"), name))), lambda x: x[name])).alias(f"top_{name}s"))
+        whole = whole.crossJoin(F.broadcast(listed))  # one row each
+    return whole
+
+
 def reconciled(initial: Column, reported: Column) -> Column:
     return F.greatest(reported - initial, F.lit(0))
 

@@ -65,20 +65,20 @@ def asof_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
 
 
 def contains_join(rows: DataFrame, terms: DataFrame, text: str, term: str, how: str = "inner") -> DataFrame:
-    """Rows with every term that their text contains.
+    """Rows with every term that their text contains.  Null and empty terms are in no text, whatever the dictionary's size.
 
     The dictionary is broadcast while it is small by measure; beyond that, rows are matched by the terms' first
     letters: an equi-join on runs of the shortest term's length, then the containment test.
     """
+    terms = terms.filter(F.length(term) > 0)
     size = terms.select(F.sum(F.octet_length(term) + 64)).first()[0] or 0
     hit = F.contains(F.col(text), F.col(term))
     if size <= BROADCAST_BYTES:
         return rows.join(F.broadcast(terms), hit, how)
-    terms = terms.filter(F.length(term) > 0)
     k = terms.select(F.min(F.length(term))).first()[0]
     grams = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - k + 1, F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(k)))))
-    keyed = rows.withColumn("_gram", grams)
-    matched = keyed.join(terms.withColumn("_head", F.substring(F.col(term), 1, k)), (F.col("_gram") == F.col("_head")) & hit).drop("_gram", "_head")
+    keyed = rows.withColumn("__gram", grams)
+    matched = keyed.join(terms.withColumn("__head", F.substring(F.col(term), 1, k)), (F.col("__gram") == F.col("__head")) & hit).drop("__gram", "__head")
     if how == "inner":
         return matched
     missing = rows.join(matched.select(*rows.columns), [rows[c].eqNullSafe(matched[c]) for c in rows.columns], "left_anti")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
+import csv
 import io
+import itertools
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,12 +37,33 @@ def read_csv(spark: SparkSession, path: str, encoding: str | None = None) -> Dat
         raw = bytes(head["c"]) if head else b""
         cut = raw if len(raw) < 1 << 20 else raw[: raw.rfind(b"\n") + 1]
         encoding = detect_encoding(cut)
-    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "encoding": "UTF-8" if encoding in (None, "utf-8", "utf-8-sig") else encoding}
+    if encoding not in (None, "utf-8", "utf-8-sig"):
+        return _decoded_csv(spark, path, encoding)
+    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": "", "encoding": "UTF-8"}
     df = spark.read.options(**options).csv(path)
     df = df.withColumnsRenamed({c: c.lstrip("﻿") for c in df.columns if c.startswith("﻿")})
     return df.fillna("")
 
 
+def _decoded_csv(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """CSV in a charset that Spark's own reader doesn't take: a file a task (quoted line breaks don't split either)."""
+    files = spark.read.format("binaryFile").load(path).select("content")
+    head = files.select(F.substring("content", 1, 1 << 20).alias("c")).first()
+    names = next(csv.reader(io.StringIO(codecs.getincrementaldecoder(encoding)().decode(bytes(head["c"])))), []) if head else []
+    names = [n.lstrip("\ufeff") for n in names]
+
+    def rows(batches):
+        for batch in batches:
+            for content in batch.column(0):
+                found = csv.reader(io.TextIOWrapper(io.BytesIO(content.as_py()), encoding, newline=""))
+                next(found, None)
+                while part := list(itertools.islice(found, 10_000)):
+                    wide = [[*r, *[""] * (len(names) - len(r))][: len(names)] for r in part if r]
+                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in wide], pa.string()) for i in range(len(names))], names=names)
+
+    return files.mapInArrow(rows, ", ".join(f"`{n}` string" for n in names))
+
+
 def with_line_numbers(df: DataFrame, order: str) -> DataFrame:
     """Line numbers from 2 (the header is line 1) in an explicit order."""
     from pyspark.sql import Window

@@ -38,21 +38,46 @@ def report_frame(findings: DataFrame, order: Sequence[str], most: int = MOST_FIN
 
 
 def promote(df: DataFrame, path: str, gate: DataFrame) -> bool:
-    """Write beside ``path``, rename over it only if every row of ``gate`` has passed."""
+    """Write beside ``path``; if every row of ``gate`` has passed, the version takes the place of ``path``.
+
+    The old version is set aside by a rename and deleted last, so at no time is there no whole version: a crash between
+    the two renames leaves it under ``path`` + "_previous", and the next call (or ``recovered``) puts it back first.
+    """
     spark = df.sparkSession
-    staged = f"{path}_candidate"
-    df.write.mode("overwrite").parquet(staged)
+    fs, at = _files(spark, path)
+    recovered(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}_candidate")
     if gate.filter("NOT passed").limit(1).count():
         return False
-    jvm = spark.sparkContext._jvm
-    to, src = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
-    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(to, True)
-    if not fs.rename(src, to):
-        raise OSError(f"{staged} could not be renamed")
+    if fs.exists(at("")):
+        _renamed(fs, at(""), at("_previous"))
+    _renamed(fs, at("_candidate"), at(""))
+    fs.delete(at("_previous"), True)
+    return True
+
+
+def recovered(spark: SparkSession, path: str) -> bool:
+    """Whether a promotion that broke off had to be undone."""
+    fs, at = _files(spark, path)
+    if not fs.exists(at("_previous")):
+        return False
+    if fs.exists(at("")):  # it broke off after the new version was in place
+        fs.delete(at("_previous"), True)
+        return False
+    _renamed(fs, at("_previous"), at(""))
     return True
 
 
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), lambda tail: jvm.org.apache.hadoop.fs.Path(path + tail)
+
+
+def _renamed(fs, source, to) -> None:
+    if not fs.rename(source, to):
+        raise OSError(f"{source} could not be renamed to {to}")
+
+
 def markdown(title: str, summary: Mapping[str, object], rows: Sequence[Mapping[str, object]]) -> str:
     """A report of collected aggregates."""
     lines = [f"# {title}", "", *(f"- {k}: {v}" for k, v in summary.items()), ""]

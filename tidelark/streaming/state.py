@@ -12,11 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names for checkpoints; one of this machine's own only where all runs on this machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="tidelark-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder that the session names; one of its own only where none is named."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelark-"))
+    """Cut the lineage in the folder that the session names."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
