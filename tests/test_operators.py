@@ -218,3 +218,44 @@ def test_delivery_keeps_every_row(spark):
     got = {r["string_id"]: r["rehydrated_text"] for r in out["delivered"].collect()}
     assert got == {"a": "attack {0}", "b": "", "c": "<b>x</b>"}
     assert out["offenders"].count() == 0 and out["lost"].count() == 0
+
+
+def test_numbers_without_a_global_window(spark):
+    """Places in a total order, in all and within keys of which one has most rows; empty tables."""
+    from tidelark.functions.order import numbered, numbered_within
+
+    rows = [(i * 7919 % 1000, None if i % 50 == 0 else "big" if i % 10 else f"k{i % 3}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "v int, k string").repartition(5)
+    got = sorted((r["number"], r["v"]) for r in numbered(df, ["v"]).collect())
+    assert got == [(i + 1, i) for i in range(1000)]
+    within = {(r["k"], r["v"]): r["n"] for r in numbered_within(df, ["k"], [F.desc("v")], "n").collect()}
+    for key in {k for _, k in rows}:
+        assert [within[key, v] for v in sorted((v for v, k in rows if k == key), reverse=True)] == list(range(1, sum(k == key for _, k in rows) + 1))
+    assert numbered(df.limit(0), ["v"]).count() == 0 and numbered_within(df.limit(0), ["k"], ["v"]).count() == 0
+
+
+def test_csv_in_other_charsets(spark, tmp_path):
+    from tidelark.sources.readers import read_csv
+
+    (tmp_path / "a.csv").write_bytes('id,text\n1,"荐\n极品"\n2,\n'.encode("gb18030"))
+    got = sorted(map(tuple, read_csv(spark, str(tmp_path / "a.csv"), encoding="auto").collect()))
+    assert got == [("1", "荐\n极品"), ("2", "")]
+
+
+def test_a_broken_off_promotion_is_undone(spark, tmp_path):
+    from tidelark.sources import writers
+
+    path, passed = str(tmp_path / "t"), spark.createDataFrame([(True,)], "passed boolean")
+    assert writers.promote(spark.range(3), path, passed)
+    (tmp_path / "t").rename(tmp_path / "t_previous")  # as if it broke off between the two renames
+    assert writers.recovered(spark, path) and spark.read.parquet(path).count() == 3
+    assert writers.promote(spark.range(5), path, passed) and spark.read.parquet(path).count() == 5 and not (tmp_path / "t_previous").exists()
+
+
+def test_empty_terms_are_in_no_text(spark, monkeypatch):
+    from tidelark.operators import helpers
+
+    rows, terms = spark.createDataFrame([("ab",), ("cd",)], "x string"), spark.createDataFrame([("",), ("a",), (None,)], "t string")
+    for size in (1 << 25, 0):
+        monkeypatch.setattr(helpers, "BROADCAST_BYTES", size)
+        assert sorted(map(tuple, helpers.contains_join(rows, terms, "x", "t").collect())) == [("ab", "a")]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import policy as R
+from .order import numbered
 from .text import all_matches, clean_source_length, contains_any, placeholder_budget, strip_source, text_or_empty
 
 
@@ -116,12 +117,11 @@ def translation_mode(source: Column, category: Column, hint: Column, rule: Colum
 def prepare_rows(df: DataFrame, source: str, source_id: str, order: str, ratio: float = 2.3, review_ratio: float = 2.5, source_locale: str = "zh-CN", target_locale: str = "ru-RU", module_tag: str = "ui_art") -> DataFrame:
     """The UI-art enrichment: 21 derived columns; numbers count the rows in ``order``.
 
-    The running number is the one global sort of this operator.
+    The running number follows ranges of the order, so no task sorts the whole table.
     """
     text = F.trim(text_or_empty(F.col(source)))
     n, budget, empty = clean_source_length(text), placeholder_budget(text), text == ""
-    at = F.row_number().over(Window.orderBy(order))
-    df = df.withColumn("_n", at).withColumns({"_text": text, "ui_art_category": ui_art_category(text)})
+    df = numbered(df, [order], "_n").withColumns({"_text": text, "ui_art_category": ui_art_category(text)})
     text, category = F.col("_text"), F.col("ui_art_category")
     df = df.withColumns({"ui_art_strategy_hint": ui_art_hint(text, category), "ui_art_compact_term": lookup(strip_source(text), R.COMPACT_TERMS, "")})
     term = F.col("ui_art_compact_term")

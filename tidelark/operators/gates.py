@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import cases, rank_of, review_status, task_priority
+from ..functions.order import numbered
 from ..functions.policy import SEVERITY_RANK
 from .helpers import top_n
 from .relational import churn
@@ -129,7 +130,7 @@ def justified(blockers: Column, least: int = 30) -> Column:
 def candidate_scores(docs: DataFrame, key: str, missing: Column, score: Column) -> DataFrame:
     """Style-guide candidates: those without missing sections, by score, ranked."""
     ok = docs.withColumns({"missing": missing, "score": score}).withColumn("structure_ok", F.size("missing") == 0)
-    return ok.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("structure_ok"), F.desc("score"), key)))
+    return numbered(ok, [F.desc("structure_ok"), F.desc("score"), key], "rank")
 
 
 def max_passing_size(trials: DataFrame, keys: Sequence[str], size: str, passed: Column) -> DataFrame:

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.order import numbered_within
+
 #: Largest dictionary (bytes, by a count of its terms' letters) that a containment join broadcasts.
 BROADCAST_BYTES = 32 << 20
 
@@ -106,4 +108,4 @@ def ordered_pack(df: DataFrame, key: str, seq: str, tokens: str, max_items: int,
 
 
 def fixed_batches(df: DataFrame, keys: Sequence[str], seq: str, n: int) -> DataFrame:
-    return df.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*keys).orderBy(seq)) - 1) / n).cast("int"))
+    return numbered_within(df, list(keys), [seq], "_n").withColumn("batch", F.floor((F.col("_n") - 1) / n).cast("int")).drop("_n")

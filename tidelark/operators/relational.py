@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.estimate import hash_order
+from ..functions.order import numbered, numbered_within
 from .helpers import contains_join, keep_first
 
 
@@ -204,11 +205,11 @@ def padded_sample(df: DataFrame, key: str, n: int, prefix: str) -> DataFrame:
 def mixed_batches(df: DataFrame, key: str, empty: Column, full_size: int, empty_size: int) -> DataFrame:
     """Batches of ``full_size`` full and ``empty_size`` empty rows by hash order."""
     order = F.sha2(F.col(key).cast("string").cast("binary"), 256)
-    w = Window.partitionBy("_empty").orderBy(order, key)
     size = F.when(F.col("_empty"), empty_size).otherwise(full_size)
-    return df.withColumn("_empty", empty).withColumn("batch", F.floor((F.row_number().over(w) - 1) / size)).drop("_empty")
+    placed = numbered_within(df.withColumns({"_empty": empty, "_order": order}), ["_empty"], ["_order", key], "_n")
+    return placed.withColumn("batch", F.floor((F.col("_n") - 1) / size)).drop("_empty", "_order", "_n")
 
 
 def modulo_shard(df: DataFrame, order: str, total: int, shard: int) -> DataFrame:
     """Rows i of an order with i % total = shard."""
-    return df.withColumn("_i", F.row_number().over(Window.orderBy(order)) - 1).filter(F.col("_i") % total == shard).drop("_i")
+    return numbered(df, [order], "_i").filter((F.col("_i") - 1) % total == shard).drop("_i")

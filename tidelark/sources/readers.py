@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.order import numbered
 from ..operators.helpers import keep_last, number_repeats, pick_column
 
 ENCODINGS = ("utf-8-sig", "utf-8", "gb18030", "gbk", "cp936")
@@ -66,9 +67,7 @@ def _decoded_csv(spark: SparkSession, path: str, encoding: str) -> DataFrame:
 
 def with_line_numbers(df: DataFrame, order: str) -> DataFrame:
     """Line numbers from 2 (the header is line 1) in an explicit order."""
-    from pyspark.sql import Window
-
-    return df.withColumn("row", F.row_number().over(Window.orderBy(order)) + 1)
+    return numbered(df, [order], "row").withColumn("row", F.col("row") + 1)
 
 
 def ingest(df: DataFrame, required: Sequence[str] = ("string_id", "source_zh", "context", "source_locale"), aliases: Mapping[str, str] = ALIASES) -> DataFrame:

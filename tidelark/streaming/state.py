@@ -82,8 +82,7 @@ def stale_steps(progress: DataFrame, step: str, ts: str, now: F.Column, after_s:
 
 def numbered_feedback(have: DataFrame, new: DataFrame, order: str) -> DataFrame:
     """New entries with ids that go on from those there are."""
-    from pyspark.sql import Window
+    from ..functions.order import numbered
 
     top = have.agg(F.coalesce(F.max("entry_id"), F.lit(0)).alias("_top"))
-    n = F.row_number().over(Window.orderBy(order))
-    return new.withColumn("_n", n).join(F.broadcast(top)).withColumn("entry_id", F.col("_top") + F.col("_n")).drop("_n", "_top")
+    return numbered(new, [order], "_n").join(F.broadcast(top)).withColumn("entry_id", F.col("_top") + F.col("_n")).drop("_n", "_top")
