@@ -82,6 +82,19 @@ def test_toxicity_finds_held_out_and_gapped_insults(spark):
     assert np.mean([out[i]["predicted"] == toxic[i] for i in held]) > 0.97
     model = M.fit(d, labels)
     assert (model.worst(["you m o r o n", "mor0n", "worth-less", "chllazzz"]) > 0).all() and (model.worst(["then on", ""]) < 0).all()
+    assert model.sentence is not None and (model.scores(["you m o r o n", "mor0n", "worth-less", "chllazzz"]) > 0.5).all() and (model.scores(["then on", "", None]) < 0.5).all()
+
+
+def test_toxicity_by_language_on_held_out_rows(spark):
+    """In every language; counted together where a language has few held-out toxic rows."""
+    from tidelark.llm import toxicity as M
+
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    out = M.document_toxicity(d, labels).filter("held_out").join(labels, "doc_id").join(d.select("doc_id", "lang"), "doc_id").groupBy("lang", "toxic").agg(F.count("*").alias("n"), F.sum("predicted").alias("p")).collect()
+    rate = lambda rows: sum(r["p"] for r in rows) / sum(r["n"] for r in rows)
+    toxic, clean = [r for r in out if r["toxic"] == 1], [r for r in out if r["toxic"] == 0]
+    assert rate([r for r in toxic if r["lang"] == "en"]) >= 0.9 and rate([r for r in toxic if r["lang"] != "en"]) >= 0.7
+    assert all(r["p"] <= 0.03 * r["n"] for r in clean)
 
 
 def test_kernel_matches_its_definition():

@@ -22,10 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is set only where the session names none (tests, one machine).
+    A folder of this machine is set only where the session names none and runs on this machine alone (tests).
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelark-"))
     return df.checkpoint(eager=True)
 

@@ -2,15 +2,17 @@
 
 The kernel of two words is the inner product of their subsequences of ``P`` letters, each occurrence weighted by
 ``LAMBDA`` to the power of the stretch it spans (at most ``SPAN`` letters), normalised to 1 for equal words; so gapped
-words and words with inserted letters stay near the plain one.  Landmarks are stems (runs of 4 to 7 letters)
-that mark toxic sentences by their counts in the labelled ones; words are mapped to the landmarks' whitened kernel space (Nystroem), where a linear machine with
+words and words with inserted letters stay near the plain one.  A word's start counts as a letter.  Landmarks are stems
+(runs of 4 to 7 letters) that mark toxic sentences by their counts in the labelled ones, in any language; words are mapped to the landmarks' whitened kernel space (Nystroem), where a linear machine with
 squared hinge loss parts the toxic words from the words of clean sentences.  Its decision is a combination of
 landmark kernels, hence one weight per subsequence: a word's value is a sum of table entries over its norm.  A
-document is as toxic as its worst word; letters set apart one by one are read as a word as well, and digits and signs
+document is judged by the largest decisions on its words and by how many of them are how large, in a logistic decision
+fitted on the labels of the sampled documents; letters set apart one by one are read as a word as well, and digits and signs
 that stand for letters are read as those.
 
-Fitting reads a bounded sample of labelled rows (``SAMPLE`` per label, smallest id hashes); all documents are scored
-over their whole texts.  Defined results: null or wordless text gets the score of a text without evidence; without
+Fitting reads a bounded sample of labelled rows (``SAMPLE`` per label, smallest id hashes).  Of what occurs in it, a stem
+needs 3 toxic sentences and log odds of 3; LANDMARKS stems, POSITIVES words that hold one and, of NEGATIVES other words,
+the 8,000 nearest to a landmark make the machine.  All documents are scored over their whole texts.  Defined results: null or wordless text gets the score of a text without evidence; without
 labels of both kinds, or without a landmark, every score is that; repeated rows get equal scores; an id with several
 labels counts as toxic if one of them is; an empty table gives an empty result.
 """
@@ -26,23 +28,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, map_text
+from .quality import Logistic
 
 P, SPAN, LAMBDA = 3, 5, 0.6
-SAMPLE, LANDMARKS, POSITIVES, NEGATIVES = 4000, 96, 3000, 80_000
+SAMPLE, LANDMARKS, POSITIVES, NEGATIVES = 4000, 192, 3000, 80_000
 #: Letters of a piece: longer words are read in overlapping pieces, so that an ending doesn't drown a stem.
-LONGEST, STRIDE = 9, 3
+LONGEST, STRIDE = 10, 3
+#: Leads every word, as a letter of its own: a stem at a word's start is another than the same letters inside.
+START = "^"
 STEM_SIZES = (4, 5, 6, 7)
 MEMO = 400_000
+#: What a sentence's decision is made of: the largest decisions on its words, and the words beyond each level.
+TOP, LEVELS = 12, (-0.75, -0.5, -0.25, 0.0, 0.25, 0.5)
+PROFILE = tuple(range(TOP + len(LEVELS)))
 #: Sharpness of the score about the machine's border.
 STEEP = 4.0
 A = 64
+#: Sentences of each label from which on the sentences' own decision is fitted (else a text is as toxic as its worst word).
+LEAST_SENTENCES = 30
 _EDGE = ".,;:!?\"'()[]{}«»„“”…"
 _SINGLE = re.compile(r"(?<!\w)\w(?:[\W_]{1,3}\w(?!\w)){2,}")
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "i"})
 
 
 def words_of(text: str) -> set[str]:
-    """The distinct words of a text in lower case, letters only, spaced-out words joined."""
+    """The distinct words of a text in lower case, letters only, spaced-out words joined, each led by START."""
     low = text.lower()
     found = set(low.split())
     out = set()
@@ -60,7 +70,7 @@ def words_of(text: str) -> set[str]:
                 out.add(joined)
     for m in _SINGLE.finditer(low):
         out.add("".join(c for c in m[0].translate(_LEET) if c.isalpha()))
-    return {w for w in out if len(w) >= P}
+    return {START + w for w in out if len(w) >= P}
 
 
 def _pieces(word: str) -> list[str]:
@@ -132,15 +142,15 @@ def _machine(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) ->
 
 
 class SubsequenceSvm:
-    """The collapsed decision: a weight per subsequence code, and a bias."""
+    """The collapsed decision on words, a weight per subsequence code and a bias; and the one on sentences, of its words'."""
 
-    def __init__(self, codes: np.ndarray, values: np.ndarray, bias: float) -> None:
-        self.codes, self.values, self.bias = codes, values, bias
+    def __init__(self, codes: np.ndarray, values: np.ndarray, bias: float, sentence: Logistic | None = None) -> None:
+        self.codes, self.values, self.bias, self.sentence = codes, values, bias, sentence
         self._table: np.ndarray | None = None
         self._memo: dict[str, float] = {}
 
     def __reduce__(self):
-        return SubsequenceSvm, (self.codes, self.values, self.bias)
+        return SubsequenceSvm, (self.codes, self.values, self.bias, self.sentence)
 
     def decide(self, words: list[str]) -> np.ndarray:
         if self._table is None:
@@ -150,8 +160,8 @@ class SubsequenceSvm:
         norm = np.sqrt(np.bincount(owner, weights=weight**2, minlength=len(words)))
         return np.bincount(owner, weights=weight * self._table[code], minlength=len(words)) / np.maximum(norm, 1e-12) + self.bias
 
-    def worst(self, texts: list[str | None]) -> np.ndarray:
-        """The largest decision over each text's words (without words: the bias alone, at most the border less one)."""
+    def profiles(self, texts: list[str | None]) -> np.ndarray:
+        """Of each text's distinct words, the largest decisions and how many are how large (without words: the least)."""
         memo = self._memo
         if len(memo) > MEMO:
             memo.clear()
@@ -163,16 +173,37 @@ class SubsequenceSvm:
             for (w, _), v in zip(part, self.decide([p for _, p in part]).tolist()):
                 memo[w] = max(v, memo.get(w, -9.0))
         floor = min(self.bias, -1.0)
-        return np.array([max(map(memo.__getitem__, s), default=floor) for s in sets])
+        out = np.full((len(texts), len(PROFILE)), floor)
+        out[:, TOP:] = 0
+        for i, s in enumerate(sets):
+            d = np.sort(np.fromiter(map(memo.__getitem__, s), float, len(s)))[::-1]
+            top = d[:TOP]
+            out[i, : len(top)] = np.maximum(top, floor)
+            out[i, TOP:] = [np.log1p((d > x).sum()) for x in LEVELS]
+        return out
 
+    def worst(self, texts: list[str | None]) -> np.ndarray:
+        """The largest decision over each text's words (without words: the bias alone, at most the border less one)."""
+        return self.profiles(texts)[:, 0]
 
-def word_counts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, int, int]:
-    """(word, toxic, clean: in how many sampled documents of each label a word occurs), and about how many those are."""
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        found = self.profiles(texts)
+        odds = STEEP * found[:, 0] if self.sentence is None else self.sentence.log_odds(found)
+        return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
+
+
+def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, int, int]:
+    """(text, y of the sampled labelled rows), and about how many of each label those are."""
     marked = labels.filter(labels["toxic"].isNotNull() & labels["doc_id"].isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     n = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
     limit = F.when(F.col("y") > 0, F.lit(min(1.0, sample / max(1, n.get(1, 0))))).otherwise(F.lit(min(1.0, sample / max(1, n.get(0, 0)))))
     chosen = marked.filter(F.xxhash64("doc_id").cast("double") <= limit * 2.0**64 - 2.0**63)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")  # bounded by ``sample``
+    return rows, min(sample, n.get(1, 0)), min(sample, n.get(0, 0))
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """word, toxic, clean: in how many sampled documents of each label a word occurs."""
 
     def counted(batches):
         toxic: Counter[str] = Counter()
@@ -183,18 +214,26 @@ def word_counts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tup
         words = list(toxic.keys() | clean.keys())
         yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.string()), "toxic": pa.array([toxic[w] for w in words], pa.int64()), "clean": pa.array([clean[w] for w in words], pa.int64())})
 
-    counts = rows.mapInArrow(counted, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    return counts, min(sample, n.get(1, 0)), min(sample, n.get(0, 0))
+    return rows.mapInArrow(counted, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def stems_of(counts: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str, float]]:
     """(stem, support): runs of letters that mark toxic sentences, best first, none within another of like support."""
-    def cut(k: int):
-        return lambda i: F.substring(F.col("word"), i, F.lit(k))
 
-    starts = {k: F.sequence(F.lit(1), F.greatest(F.length("word") - (k - 1), F.lit(1))) for k in STEM_SIZES}
-    runs = F.array_distinct(F.flatten(F.array(*[F.transform(starts[k], cut(k)) for k in STEM_SIZES])))
-    by_run = counts.select(F.explode(runs).alias("stem"), "toxic", "clean").groupBy("stem").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).filter(F.length("stem") >= min(STEM_SIZES))
+    def cut(batches):
+        for b in batches:
+            toxic: Counter[str] = Counter()
+            clean: Counter[str] = Counter()
+            for word, t, n in zip(*(b.column(i).to_pylist() for i in range(3))):
+                runs = {word[i : i + k] for k in STEM_SIZES for i in range(len(word) - k + 1)}
+                for r in runs if t else ():
+                    toxic[r] += t
+                for r in runs if n else ():
+                    clean[r] += n
+            found = list(toxic.keys() | clean.keys())
+            yield pa.RecordBatch.from_pydict({"stem": pa.array(found, pa.string()), "toxic": pa.array([toxic[r] for r in found], pa.int64()), "clean": pa.array([clean[r] for r in found], pa.int64())})
+
+    by_run = counts.mapInArrow(cut, "stem string, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     odds = F.log(((F.col("t") + 0.5) / (n_toxic + 1)) / ((F.col("c") + 0.5) / (n_clean + 1)))
     best = by_run.filter((F.col("t") >= 3) & (odds >= 3)).orderBy(F.desc(F.col("t") * odds), F.desc(F.length("stem")), "stem").limit(4000).collect()
     kept: list[tuple[str, float]] = []
@@ -208,8 +247,8 @@ def stems_of(counts: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str, f
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> SubsequenceSvm | None:
     """The machine, or None where the sample shows no stem that marks toxic sentences."""
-    counts, n_toxic, n_clean = word_counts(docs, labels, sample)
-    counts = counts.persist()
+    rows, n_toxic, n_clean = sampled(docs, labels, sample)
+    counts = word_counts(rows).persist()
     try:
         stems = stems_of(counts, n_toxic, n_clean)
         if not stems:
@@ -248,7 +287,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Subsequence
     beta = whiten @ w[:-1]
     owner, code, weight = _unit(landmarks)
     codes, inverse = np.unique(code, return_inverse=True)
-    return SubsequenceSvm(codes, np.bincount(inverse, weights=weight * beta[owner]), float(w[-1]))
+    machine = SubsequenceSvm(codes, np.bincount(inverse, weights=weight * beta[owner]), float(w[-1]))
+    return machine.__class__(codes, machine.values, machine.bias, _sentences(rows, machine))
+
+
+def _sentences(rows: DataFrame, machine: SubsequenceSvm) -> Logistic | None:
+    """The decision on sentences, fitted on the labels of the sampled ones (a row of PROFILE numbers each)."""
+
+    def profile(part: pa.RecordBatch) -> dict:
+        found = machine.profiles(part.column(0).to_pylist())
+        return {"y": part.column(1), **{f"f{i}": pa.array(found[:, i]) for i in PROFILE}}
+
+    got = map_text(rows, profile, "y int, " + ", ".join(f"f{i} double" for i in PROFILE)).toPandas()
+    y = (got["y"].to_numpy() > 0).astype(float)
+    if y.sum() < LEAST_SENTENCES or len(y) - y.sum() < LEAST_SENTENCES:
+        return None
+    return Logistic(got[[f"f{i}" for i in PROFILE]].to_numpy(), y, ridge=1e-3)
 
 
 def toxicity(docs: DataFrame, model: SubsequenceSvm | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,8 +313,7 @@ def toxicity(docs: DataFrame, model: SubsequenceSvm | None, id_col: str = "doc_i
         score = np.zeros(len(texts))
         for at in range(0, len(texts), 256):
             group = texts[at : at + 256]
-            worst = model.worst(group) if model else np.full(len(group), -1.0)
-            score[at : at + 256] = 1 / (1 + np.exp(-np.clip(STEEP * worst, -60, 60)))
+            score[at : at + 256] = model.scores(group) if model else 1 / (1 + np.exp(STEEP))
         return {id_col: part.column(0), "score": pa.array(score), "predicted": pa.array((score >= 0.5).astype(np.int32))}
 
     kind = docs.schema[id_col].dataType.simpleString()
