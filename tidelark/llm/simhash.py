@@ -1,9 +1,10 @@
 """SimHash near-duplicates: tiled exact comparison of fingerprints.
 
 Fingerprints are 64-bit majority votes over the XXH64 (seed 42) of word shingles.  Equal fingerprints meet first (one
-row each from there on).  Two fingerprints within ``RADIUS`` differing bits agree on at least one of RADIUS + 1 bands
-of bits, so each band's leading bits deal the fingerprints into blocks; a block is sorted by population count, cut
-into tiles, and tiles are compared by exclusive-or and bit counts, skipping pairs of tiles whose population counts
+row each from there on).  Two fingerprints within ``RADIUS`` differing bits agree on at least m of RADIUS + m bands of
+bits, so the leading bits of every choice of m bands deal the fingerprints into blocks.  One band is enough for 2^25
+fingerprints; m grows with their number (and the key with it), so that a block of unlike fingerprints stays near ``AIM``
+rows.  A block is sorted by population count, cut into tiles, and tiles are compared by exclusive-or and bit counts, skipping pairs of tiles whose population counts
 are further apart than the radius.  Blocks above ``BLOCK`` rows are cut into sub-blocks that meet pairwise.  A task
 returns links as a forest (each row to the least of its component there), never all pairs; the forests are joined
 by alternating large-star and small-star steps on DataFrames, checkpointed each round.
@@ -15,6 +16,7 @@ their own rows; a null id never names a component unless its component has no ot
 from __future__ import annotations
 
 import re
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -105,14 +107,24 @@ def tiled_links(fps: np.ndarray, side: np.ndarray | None = None, radius: int = R
     return forest.root
 
 
+def band_choices(n: int, radius: int) -> list[list[tuple[int, int]]]:
+    """For each key its bands, as (bits to the right, bits taken), such that a block of n random numbers has about AIM rows."""
+    bits = int(max(n, 1) / AIM).bit_length()
+    m = next((m for m in range(1, 64 - radius) if 64 // (radius + m) * m >= bits), 63 - radius)
+    width = 64 // (radius + m)
+    take = min(width, -(-bits // m))
+    return [[(64 - b * width - take, take) for b in chosen] for chosen in combinations(range(radius + m), m)]
+
+
 def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """fp, root: a forest whose components are those of all links among the distinct fingerprints (column fp)."""
-    spark = distinct.sparkSession
-    n = distinct.count()
-    bands = radius + 1
-    width = 64 // bands
-    bits = min(width, max(0, (max(n, 1) // AIM).bit_length()))
-    key = F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.shiftrightunsigned(F.shiftleft("fp", b * width), 64 - bits).alias("part") if bits else F.lit(0).cast("long").alias("part")) for b in range(bands)]))
+    keys = []
+    for i, bands in enumerate(band_choices(distinct.count(), radius)):
+        part = F.lit(0).cast("long")
+        for right, take in bands:
+            part = F.shiftleft(part, take).bitwiseOR(F.shiftrightunsigned("fp", right).bitwiseAND(F.lit((1 << take) - 1).cast("long")))
+        keys.append(F.struct(F.lit(i).alias("band"), part.alias("part")))
+    key = F.explode(F.array(*keys))
     dealt = distinct.select("fp", key.alias("k")).select("fp", "k.band", "k.part")
     # blocks too large for a task are cut in sub-blocks by hash; only those are listed here
     large = dealt.groupBy("band", "part").count().filter(F.col("count") > BLOCK).withColumn("subs", F.ceil(F.col("count") / (BLOCK / 2)).cast("int")).drop("count")
@@ -128,7 +140,6 @@ def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         linked = np.nonzero(root != np.arange(len(fps)))[0]
         return pa.table({"fp": pa.array(fps[linked].view(np.int64)), "root": pa.array(fps[root[linked]].view(np.int64))})
 
-    del spark
     return cells.groupBy("band", "part", "a", "b").applyInArrow(compare, "fp long, root long").distinct()
 
 
