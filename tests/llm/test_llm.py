@@ -8,6 +8,7 @@ import re
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -139,6 +140,42 @@ def test_sparse_sites_shrink_toward_their_parents(spark):
     assert abs(out[900]["host_rate"] - 0.5) < 0.01 and out[0]["keep"]
 
 
+def test_quality_matches_plain_posteriors(spark):
+    """Rates, concentrations and scores from the documents' evidence, site by site."""
+    from tidelark.llm import quality as M
+
+    rng = random.Random(12)
+    rows = [(i, "".join(rng.choice("abc DE\n.!1") for _ in range(rng.randint(0, 80))), rng.choice(["en", "de"]), rng.choice(["a", "http://x.y/p/q", "http://x.y/z", None]), 1) for i in range(120)] + [(900, "lone", "fr", "only", 1)]
+    x = M.features(pa.array([r[1] for r in rows]))
+    model = M.Logistic(x, np.array([float(i % 3 > 0) for i in range(len(rows))]))
+    got = {r["doc_id"]: r for r in M.quality(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    odds = dict(zip([r[0] for r in rows], model.log_odds(x)))
+    p = {i: 1 / (1 + np.exp(-o)) for i, o in odds.items()}
+    paths, hosts = {}, {}
+    for i, r in got.items():
+        paths.setdefault((r["host"], r["path"]), []).append(p[i])
+        hosts.setdefault(r["host"], []).append(p[i])
+    mu = sum(p.values()) / len(p)
+
+    def fitted(groups):  # (values, parent rate)
+        n = np.array([len(v) for v, _ in groups], float)
+        rate, parent = np.array([np.mean(v) for v, _ in groups]), np.array([q for _, q in groups])
+        spread = max((n * (rate - parent) ** 2).sum() - (parent * (1 - parent)).sum(), 1e-9)
+        between = spread / max(n.sum() - (n * n).sum() / n.sum(), 1e-9)
+        return min(M.MOST, max(M.LEAST, (parent * (1 - parent)).mean() / between - 1))
+
+    k_host = fitted([(v, mu) for v in hosts.values()])
+    whole = {h: (sum(v) + k_host * mu) / (len(v) + k_host) for h, v in hosts.items()}
+    k_path = fitted([(v, whole[h]) for (h, _), v in paths.items()])
+    for i, r in got.items():
+        h, v = hosts[r["host"]], paths[r["host"], r["path"]]
+        host = (sum(h) - p[i] + k_host * mu) / (len(h) - 1 + k_host)
+        path = (sum(v) - p[i] + k_path * host) / (len(v) - 1 + k_path)
+        score = 1 / (1 + np.exp(-(odds[i] + np.log(path / (1 - path)) - np.log(mu / (1 - mu)))))
+        assert [r["evidence"], r["host_rate"], r["path_rate"], r["score"]] == pytest.approx([p[i], host, path, score], rel=1e-6)
+        assert r["keep"] == (r["score"] >= M.THRESHOLD)
+
+
 def _plain_bits(train, text, order):
     """Code length of a text by escape method C over bytes, straight from the training texts."""
     fold = lambda t: t.encode().translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
@@ -288,6 +325,37 @@ def test_near_dedup_takes_copies_of_four_fifths(spark, monkeypatch, block):
     assert nearcopies.one_per_group(odd).count() == len(ODD) - 3 + 1 and nearcopies.one_per_group(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("aim", [512, 0.5, 1e-5])
+def test_links_by_any_number_of_bands(spark, monkeypatch, aim):
+    """Keys of one band and of several: all links within the radius, and no others, at every block size."""
+    from tidelark.llm import simhash
+
+    monkeypatch.setattr(simhash, "AIM", aim)
+    rng = random.Random(6)
+    seeds = [rng.getrandbits(64) for _ in range(60)]
+    fps = {s ^ sum(1 << b for b in rng.sample(range(64), k)) for s in seeds for k in (0, 1, 2, 3, 4, 5)}
+    links = simhash.near_links(spark.createDataFrame([(f - (1 << 64) if f >= 1 << 63 else f,) for f in fps], "fp long")).collect()
+    root = {f: f for f in fps}
+
+    def top(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for r in links:
+        a, b = top(r["fp"] % (1 << 64)), top(r["root"] % (1 << 64))
+        root[max(a, b)] = min(a, b)
+    want = {f: f for f in fps}
+    changed = True
+    while changed:
+        changed = False
+        for a in fps:
+            for b in fps:
+                if (a ^ b).bit_count() <= 3 and want[b] < want[a]:
+                    want[a], changed = want[b], True
+    assert {f: top(f) for f in fps} == want
+
+
 # -- op4 --------------------------------------------------------------------------------------------------------------
 
 

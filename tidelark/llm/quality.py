@@ -4,7 +4,7 @@ A logistic classifier on form features (shares of upper case, digits, marks, rep
 gives every document its evidence.  Sites are hosts and, below them, paths; each level's rate of good documents is a
 posterior mean of the level above: a path shrinks toward its host, a host toward the global rate, by a concentration
 that grouped aggregation fits by moments, so sparse sites lean on their priors.  A document's log odds are its own
-evidence plus its path's log odds relative to the global ones.
+evidence plus the log odds of its path's other documents relative to the global ones.
 
 The classifier is fitted on a bounded sample of labelled rows (``SAMPLE``, smallest id hashes); site statistics cover
 all documents.  A source that parses as a URL gives host and first path part; any other source is a host whose paths
@@ -168,12 +168,14 @@ def quality(docs: DataFrame, model: Logistic | None, threshold: float = THRESHOL
     hosts = hosts.withColumn("host_rate", (F.col("hs") + k_host * mu) / (F.col("hn") + k_host))
     below = paths.join(hosts.select("host", "host_rate"), "host")
     k_path = below.agg(_concentration(F.col("s") / F.col("n"), F.col("n"), F.col("host_rate"))).first()[0] or MOST
-    below = below.select("host", "path", "host_rate", ((F.col("s") + k_path * F.col("host_rate")) / (F.col("n") + k_path)).alias("path_rate"))
     logit = lambda x: F.log(x / (1 - x))
-    odds = F.col("odds") + logit(F.col("path_rate")) - float(np.log(mu / (1 - mu)))
+    out = scored.join(paths.join(hosts.select("host", "hn", "hs"), "host"), ["host", "path"]).withColumn("evidence", p)
+    # the rates are those of a document's neighbours: its own evidence counts once, on its own
+    out = out.withColumn("host_rate", (F.col("hs") - F.col("evidence") + k_host * mu) / (F.col("hn") - 1 + k_host))
+    out = out.withColumn("path_rate", (F.col("s") - F.col("evidence") + k_path * F.col("host_rate")) / (F.col("n") - 1 + k_path))
+    odds = F.col("odds") + logit(F.least(F.greatest("path_rate", F.lit(1e-6)), F.lit(1 - 1e-6))) - float(np.log(mu / (1 - mu)))
     score = 1 / (1 + F.exp(-odds))
-    out = scored.join(below, ["host", "path"])
-    return out.select("doc_id", "host", "path", p.alias("evidence"), "host_rate", "path_rate", score.alias("score"), (score >= threshold).alias("keep"))
+    return out.select("doc_id", "host", "path", "evidence", "host_rate", "path_rate", score.alias("score"), (score >= threshold).alias("keep"))
 
 
 def document_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
