@@ -95,9 +95,9 @@ def q11_translation_verdict(spark, d):
     return bound(spark, d, "strings").groupBy(Q.translation_verdict(c("source_text"), c("target_text")).alias("verdict")).agg(F.count("*").alias("n"))
 
 
-@query(cte("strings") + ", p AS (SELECT *, list_sort(list_distinct(regexp_extract_all(source_text, '⟦(?:PH|TAG)_[0-9]+⟧|\\{[^}]+\\}|%[sd]|<[^>]+>'))) AS a, list_sort(list_distinct(regexp_extract_all(target_text, '⟦(?:PH|TAG)_[0-9]+⟧|\\{[^}]+\\}|%[sd]|<[^>]+>'))) AS b FROM strings), k AS (SELECT unnest([CASE WHEN length(target_text) > 3000 THEN 'length' END, CASE WHEN a <> b THEN 'placeholder_set' END, CASE WHEN " + f"{_S} <> {_T}" + " THEN 'token_sequence' END, CASE WHEN trim(target_text) = '' THEN 'empty' END]) AS failure FROM p) SELECT failure, count(*) AS n FROM k WHERE failure IS NOT NULL GROUP BY ALL")
+@query(cte("strings") + ", p AS (SELECT *, list_sort(list_distinct(regexp_extract_all(source_text, '⟦(?:PH|TAG)_[0-9]+⟧|\\{[^}]+\\}|%[sd]|<[^>]+>'))) AS a, list_sort(list_distinct(regexp_extract_all(target_text, '⟦(?:PH|TAG)_[0-9]+⟧|\\{[^}]+\\}|%[sd]|<[^>]+>'))) AS b FROM strings), k AS (SELECT unnest([CASE WHEN length(target_text) > 3000 THEN 'length' END, CASE WHEN a <> b THEN 'placeholder_set' END, CASE WHEN " + f"{_S} <> {_T}" + " THEN 'token_sequence' END, CASE WHEN trim(target_text) = '' THEN 'empty' END, CASE WHEN regexp_matches(lower(target_text), 'here is|translation:|as an ai|i cannot|sorry') THEN 'meta' END, CASE WHEN regexp_matches(target_text, '[一-鿿]') THEN 'cjk' END]) AS failure FROM p) SELECT failure, count(*) AS n FROM k WHERE failure IS NOT NULL GROUP BY ALL")
 def q12_repair_failures(spark, d):
-    return bound(spark, d, "strings").select(F.explode(Q.repair_failures(c("source_text"), c("target_text"), F.lit(3000))).alias("failure")).filter(~c("failure").isin("meta", "cjk")).groupBy("failure").agg(F.count("*").alias("n"))
+    return bound(spark, d, "strings").select(F.explode(Q.repair_failures(c("source_text"), c("target_text"), F.lit(3000))).alias("failure")).groupBy("failure").agg(F.count("*").alias("n"))
 
 
 @query("SELECT severity, count(*) AS n FROM (SELECT CASE WHEN n_chars > 3000 THEN 'critical' WHEN n_chars > 2000 THEN 'major' WHEN n_chars >= 1900 THEN 'warning' END AS severity FROM documents) WHERE severity IS NOT NULL GROUP BY ALL")

@@ -165,10 +165,13 @@ def p37_stratum(spark, d):
 _BUCKETS = """[CASE WHEN length(x) <= 8 THEN 'ui_short' END, CASE WHEN length(x) BETWEEN 9 AND 30 THEN 'ui_mid' END, CASE WHEN length(x) >= 60 THEN 'dialogue_long' END, CASE WHEN regexp_matches(x, '注意|禁止|必须|不可|提示|说明|警告|错误|失败') THEN 'system_rules' END, CASE WHEN regexp_matches(x, '\\{[^}]+\\}|%[sd]|⟦PH_[0-9]+⟧|\\[.*?\\]|<[^>]+>|\\\\n') THEN 'placeholder' END]"""
 
 
-@query("WITH t AS (SELECT doc_id, text AS x FROM documents), b AS (SELECT doc_id, x, unnest(" + _BUCKETS + ") AS bucket FROM t) SELECT bucket, count(*) AS n FROM b WHERE bucket IS NOT NULL GROUP BY ALL")
+_ADVERSARIAL = R.BUCKET_ADVERSARIAL.replace("'", "''")
+_ALL_BUCKETS = f"CASE WHEN trim(x) = '' THEN ['empty'] ELSE CASE WHEN len(list_filter({_BUCKETS}, lambda y: y IS NOT NULL)) + CASE WHEN odd THEN 1 ELSE 0 END > 0 THEN list_concat({_BUCKETS}, [CASE WHEN odd THEN 'adversarial' END]) ELSE ['other'] END END"
+
+
+@query(f"WITH t AS (SELECT doc_id, coalesce(text, '') AS x, len(regexp_extract_all(coalesce(text, ''), '{_ADVERSARIAL}')) >= 2 AS odd FROM documents), b AS (SELECT doc_id, unnest({_ALL_BUCKETS}) AS bucket FROM t) SELECT doc_id, bucket FROM b WHERE bucket IS NOT NULL")
 def p38_reality_buckets(spark, d):
-    df = read(spark, d, "documents").select(F.explode(C.reality_buckets(c("text"))).alias("bucket"))
-    return df.filter(~c("bucket").isin("adversarial", "other", "empty")).groupBy("bucket").agg(F.count("*").alias("n"))
+    return read(spark, d, "documents").select("doc_id", F.explode(C.reality_buckets(c("text"))).alias("bucket"))
 
 
 def _n(words):
@@ -177,11 +180,15 @@ def _n(words):
 
 _TOP = {k: _n(v) for k, v in R.TAG_KEYWORDS.items()}
 _TAG = "CASE WHEN source_zh = '' THEN 'misc' WHEN starts_with(string_id, 'BTN_') THEN 'ui_button' WHEN starts_with(string_id, 'SKILL_') THEN 'skill_desc' WHEN length(source_zh) <= 4 THEN 'ui_button' " + " ".join(f"WHEN ({e}) > 0 AND ({e}) = greatest({', '.join(_TOP.values())}) THEN '{k}'" for k, e in _TOP.items()) + " WHEN length(source_zh) > 60 THEN 'dialogue' ELSE 'misc' END"
+_TOPS = f"greatest({', '.join(_TOP.values())})"
+_BUTTON = " OR ".join(f"contains(source_zh, '{k}')" for k in R.TAG_KEYWORDS["ui_button"])
+_SURE = f"CASE WHEN source_zh = '' THEN 0.0::DOUBLE WHEN starts_with(string_id, 'BTN_') OR starts_with(string_id, 'SKILL_') THEN 0.95::DOUBLE WHEN length(source_zh) <= 4 AND ({_BUTTON}) THEN 0.95::DOUBLE WHEN length(source_zh) <= 4 THEN 0.7::DOUBLE WHEN {_TOPS} > 0 THEN 0.8::DOUBLE WHEN contains(source_zh, '...') OR length(source_zh) > 60 THEN 0.6::DOUBLE ELSE 0.5::DOUBLE END"
 
 
-@query(cte("ui") + f"SELECT string_id, {_TAG} AS tag FROM ui")
+@query(cte("ui") + f"SELECT string_id, {_TAG} AS tag, {_SURE} AS confidence FROM ui")
 def p39_heuristic_tag(spark, d):
-    return bound(spark, d, "ui").select("string_id", C.heuristic_tag(c("source_zh"), c("string_id"))["tag"].alias("tag"))
+    tag = C.heuristic_tag(c("source_zh"), c("string_id"))
+    return bound(spark, d, "ui").select("string_id", tag["tag"].alias("tag"), tag["confidence"].cast("double").alias("confidence"))
 
 
 _B = f"(length(source_zh) - length(regexp_replace(source_zh, '{_PLH}', '', 'g')))"
