@@ -597,6 +597,30 @@ def test_shards_differ_by_one_row_at_most(spark):
     assert sorted(out["doc_id"]) == list(range(102)) and out.set_index("doc_id").loc[101, ["size", "text_crc32"]].tolist() == [1, 0]
 
 
+def test_shards_follow_the_curve_and_prune(spark):
+    """Every row's place against a plain sort by cells, curve, checksum and id; shards hold few values of a dimension."""
+    from tidelark.llm.sharding import hilbert_index, hilbert_shards
+
+    rng = random.Random(3)
+    rows = [(i, "x" * rng.randint(0, 3) or None, rng.choice(["en", "de", None]), rng.choice("abcdefgh"), rng.choice([None, 0, 5, 900, 70_000])) for i in range(300)] + [(None, "y", "en", "a", 5), (7, "t", "en", "a", 5)]
+    out = hilbert_shards(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    bits, top = 8, 255
+    text_cell = lambda v: 0 if v is None else crc32(v.encode()) % top + 1
+    number_cell = lambda v: 0 if v is None else min(top, int(np.log2(max(v, 0) + 1) * (top // 48)) + 1)
+    cells = np.array([[text_cell(r[2]), text_cell(r[3]), number_cell(r[4])] for r in rows])
+    curve = hilbert_index(cells, bits).tolist()
+    crc = [crc32((r[1] or "").encode()) if r[1] is not None else 0 for r in rows]
+    order = sorted(range(len(rows)), key=lambda i: (curve[i], crc[i], rows[i][0] is not None, rows[i][0] or 0))
+    n = len(rows)
+    want = [(rows[i][0], len(rows[i][1] or "") + 1, crc[i], at * 8 // n, at + -(-(at * 8 // n) * n // 8), curve[i]) for at, i in enumerate(order)]
+    got = sorted(out, key=lambda r: (r["shard"], r["slot"]))
+    assert [(r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["curve"]) for r in got] == [(a, b, c, d, f) for a, b, c, d, _, f in want]
+    assert [r["slot"] for r in got] == [k for s in range(8) for k in range(sum(w[3] == s for w in want))]
+    # a reader of one source opens fewer shards than rows dealt at random would need
+    by_source = {s: {r["shard"] for r in got if r["doc_id"] is not None and rows[r["doc_id"]][3] == s} for s in "abcdefgh"}
+    assert sum(map(len, by_source.values())) < 8 * 8 * 0.75
+
+
 def test_topk_against_all_pairs(spark):
     from tidelark.llm.topk import exact_topk
 

@@ -63,7 +63,8 @@ def cell(df: DataFrame, column: str, bits: int) -> F.Column:
         return F.coalesce(F.crc32(df[column].cast("string").cast("binary")) % top + 1, F.lit(0)).cast("int")
     value = F.greatest(df[column].cast("double"), F.lit(0.0))
     steps = max(1, top // 48)
-    return F.coalesce(F.least(F.lit(top), F.floor(F.log2(value + 1) * steps) + 1), F.lit(0)).cast("int")
+    placed = F.least(F.lit(top), F.floor(F.log2(value + 1) * steps) + 1)
+    return F.when(df[column].isNull(), 0).otherwise(placed).cast("int")  # the greatest of a null and 0 is 0
 
 
 def hilbert_shards(docs: DataFrame, n_shards: int = 8, dims: tuple[str, ...] = ("lang", "source", "n_chars"), bits: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
