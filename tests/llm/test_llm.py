@@ -325,6 +325,92 @@ def test_near_dedup_takes_copies_of_four_fifths(spark, monkeypatch, block):
     assert nearcopies.one_per_group(odd).count() == len(ODD) - 3 + 1 and nearcopies.one_per_group(odd.limit(0)).count() == 0
 
 
+def _partition(n, pairs):
+    group = list(range(n))
+    for a, b in pairs:
+        x, y = sorted((group[a], group[b]))
+        group = [x if g == y else g for g in group]
+    return group
+
+
+@pytest.mark.parametrize("sides", [False, True])
+def test_wide_fingerprints_in_tiles(monkeypatch, sides):
+    """Votes and tiles of the near-dedup's fingerprints against plain ones."""
+    from tidelark.llm import nearcopies
+
+    hashes = nearcopies.shingles(" ".join(f"w{i}" for i in range(700)))
+    votes = [0] * 256
+    for h in hashes.tolist():
+        for w in range(4):
+            x = (h + w * 0x9E3779B97F4A7C15) % 2**64
+            for by in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+                x = (x ^ x >> 33) * by % 2**64
+            x ^= x >> 33
+            for b in range(64):
+                votes[64 * w + b] += x >> b & 1
+    bits = sum(1 << b for b in range(256) if votes[b] * 2 > len(hashes))
+    assert nearcopies.fingerprint(hashes).tolist() == [bits >> 64 * w & 2**64 - 1 for w in range(4)]
+
+    monkeypatch.setattr(nearcopies, "TILE", 8)
+    rng = random.Random(8)
+    made = []
+    for _ in range(120):
+        seed = rng.getrandbits(256)
+        for flips in (20, 60, 90):
+            made.append((seed ^ sum(1 << b for b in rng.sample(range(256), flips)), rng.choice([4, 5, 8, 9, 10, 40, 48, 60])))
+        made.append((seed, rng.choice([4, 5, 9, 40])))
+    fps = np.array([[f >> 64 * w & 2**64 - 1 for w in range(4)] for f, _ in made], dtype=np.uint64)
+    n, side = np.array([k for _, k in made]), np.array([rng.random() < 0.5 for _ in made]) if sides else None
+    pairs = []
+    for i, (f, k) in enumerate(made):
+        for j, (g, m) in enumerate(made[:i]):
+            x, less, more = f ^ g, min(k, m), max(k, m)
+            most, first = (80, 64) if less == 4 else (70, 25)
+            may = 5 * less >= 4 * more and (k != m or k > 8) and (not sides or side[i] != side[j])
+            if may and x.bit_count() <= most and (x & 2**64 - 1).bit_count() <= first:
+                pairs.append((i, j))
+    order, root = nearcopies.tiled_links(fps, n, side)
+    want = _partition(len(made), pairs)
+    got = _partition(len(made), [(order[i], order[r]) for i, r in enumerate(root)])
+    assert len(pairs) > 5 and got == want
+
+
+def test_keys_hold_the_stated_misses():
+    """Pairs of sets at 0.8 are within the radius and share a key."""
+    from tidelark.llm import nearcopies
+
+    rng = np.random.default_rng(3)
+    for both, a, b in ((4, 0, 1), (12, 1, 2), (48, 6, 6)):
+        settings = nearcopies.SMALL if both == 4 else nearcopies.LARGE
+        of = nearcopies.key_bits(8)[: nearcopies.keys_needed(8, settings)]
+        for _ in range(1000):
+            h = rng.integers(0, 2**64, both + a + b, dtype=np.uint64)
+            x = nearcopies.fingerprint(h[: both + a]) ^ nearcopies.fingerprint(np.append(h[:both], h[both + a :]))
+            bits = np.unpackbits(x.view(np.uint8), bitorder="little")
+            assert bits.sum() <= settings.radius and bits[:64].sum() <= settings.first and not bits[of].any(axis=1).all()
+
+
+@pytest.mark.parametrize("full", [32768, 8])
+def test_near_dedup_gets_its_rows_by_fingerprints(spark, monkeypatch, full):
+    """SimHashes connect what the stage then checks; without their links, only equal sets are copies."""
+    import corpus_pipeline
+    from tidelark.llm import nearcopies, simhash
+
+    monkeypatch.setattr(nearcopies, "FULL", full)
+    fresh = iter(range(10**6))
+    base = [[f"v{next(fresh)}" for _ in range(60)] for _ in range(8)]
+    texts = [" ".join(w[:at] + [f"v{next(fresh)}"] + w[at + 1 :]) for w in base for at in (0, 30)] + ["a b c d e f g h", "a b c d e f g h i"]
+    d = docs(spark, [*texts, texts[0]])
+    prints = nearcopies.signatures(simhash.named_rows(d)[0]).dropDuplicates(["node"]).cache()
+    name = {r["node"]: r["doc_id"] % len(texts) for r in prints.collect()}
+    got = _partition(len(texts), [(name[r["fp"]], name[r["root"]]) for r in nearcopies.fingerprint_links(prints).collect()])
+    assert got == [i // 2 * 2 for i in range(len(texts))]
+    kept = corpus_pipeline.near_dedup(spark, d, "").select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(0, len(texts), 2))
+    monkeypatch.setattr(nearcopies, "fingerprint_links", lambda nodes: nodes.select(nodes["node"].alias("fp"), nodes["node"].alias("root")).limit(0))
+    assert corpus_pipeline.near_dedup(spark, d, "").count() == len(texts)
+
+
 @pytest.mark.parametrize("aim", [512, 0.5, 1e-5])
 def test_links_by_any_number_of_bands(spark, monkeypatch, aim):
     """Keys of one band and of several: all links within the radius, and no others, at every block size."""

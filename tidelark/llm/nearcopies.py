@@ -1,11 +1,15 @@
 """Near copies of documents: texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more.
 
-Equal sets meet first (one row each from there on).  Min-hash bands deal the sets: two sets of similarity s share one of
-``BANDS`` bands of ``ROWS`` least hashes with probability 1 - (1 - s ** ROWS) ** BANDS, which is over 0.99999 at 0.8.
-(A 64-bit SimHash has to allow some 17 differing bits for that, and 18 bands of 3 bits would compare all with all.)
-Sets that bands connect form a cell, cut into sub-blocks that meet pairwise where it is large.  In a cell every pair
+Equal sets meet first (one row each from there on).  A set's SimHash has 256 bits, each the majority vote of one hash of
+its shingles: with 64 bits, the radius that holds copies of 0.8 would hold 3% of all pairs.  Keys of some of the bits
+deal the fingerprints into blocks; a block is sorted by set size and population count, cut into tiles, and tiles are
+compared by exclusive-or and bit counts, skipping those whose population counts are further apart than the radius or
+whose sizes no copies can have.  Radius and number of keys come from the exact chance that a bit differs: a pair at 0.8
+is missed less than once in 100,000 (``LARGE``, ``SMALL``).
+
+Sets that fingerprints connect form a cell, cut into sub-blocks that meet pairwise where it is large.  In a cell every pair
 is checked exactly: sets this similar share one of their least hashes, and those that do are intersected unless links
-already join them.  A cell returns links as a forest, never all pairs.
+already join them.  A block and a cell return links as a forest, never all pairs.
 
 Defined results: words, case and texts of up to 5 words are as in ``simhash``; null, empty and wordless texts are
 copies of one another; a null id is no document's least while its group has another.
@@ -13,6 +17,10 @@ copies of one another; a null id is no document's least while its group has anot
 
 from __future__ import annotations
 
+from functools import cache
+from math import comb
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,11 +29,32 @@ from pyspark.sql import functions as F
 from .common import bounded, checkpointed, map_text, release, utf8_len
 from .simhash import _LOWER, _WORDS, SEED, Forest, components, named_rows
 
-SHINGLE, BANDS, ROWS = 5, 40, 6
+SHINGLE, WORDS = 5, 4
 #: Rows and bytes of text of two sub-blocks of a cell.
 BLOCK, BLOCK_BYTES = 2048, 32 << 20
+#: Bits of a key: LEAST, or more, until a block of unlike sets has at most AIM rows; blocks above FULL rows are cut.
+LEAST, AIM, FULL, TILE = 5, 16384, 32768, 256
+
+
+class Settings(NamedTuple):
+    """How far fingerprints of copies lie apart."""
+
+    chance: float  #: that a bit differs, at most, in two sets of similarity 0.8
+    radius: int  #: differing bits of linked fingerprints
+    first: int  #: differing bits of their first words
+
+
+#: Chances are the largest over all sizes: for sets of 12 shared shingles and 3 others, and (SMALL) for 4 shingles of 5.
+LARGE, SMALL = Settings(0.1612, 70, 25), Settings(0.1875, 80, 64)
+#: Sets below TINY shingles have no copies but equal sets; SMALL holds where the smaller set has TINY.
+TINY = 4
+#: Chance that a pair at 0.8 is beyond the radius or shares no key (beyond LARGE.first: 0.0000025 more).
+MISS = 7e-6
 _STEP = 4096
-_FACTORS = np.random.default_rng(SEED).integers(0, 2**31, BANDS * ROWS, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
+_ADDED = np.arange(WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+_MIXERS = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+_HALF = np.uint64(33)
+_FP = [f"w{i}" for i in range(WORDS)]
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -42,54 +71,169 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter((xxh64_intdigest(whole[s:e], SEED) for s, e in zip(starts[:n].tolist(), ends[SHINGLE - 1 :].tolist())), np.uint64, n))
 
 
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band of the set's least hashes."""
-    from xxhash import xxh64_intdigest
-
-    low, high = hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint32)
-    least = np.full(BANDS * ROWS, 2**32 - 1, dtype=np.uint32)
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The words of the SimHash of a set: each hash votes with its bits, mixed anew for every word."""
+    votes = np.zeros(WORDS * 64, dtype=np.int64)
     for at in range(0, len(hashes), _STEP):
-        mixed = _FACTORS * low[at : at + _STEP]
-        mixed += high[at : at + _STEP]
-        np.minimum(least, mixed.min(axis=1), out=least)
-    return np.array([xxh64_intdigest(part.tobytes(), b) for b, part in enumerate(least.reshape(BANDS, ROWS))], dtype=np.uint64)
+        mixed = hashes[at : at + _STEP, None] + _ADDED
+        for by in _MIXERS:
+            mixed ^= mixed >> _HALF
+            mixed *= by
+        mixed ^= mixed >> _HALF
+        bits = np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little")
+        for part in range(0, len(bits), 255):
+            votes += bits[part : part + 255].sum(axis=0, dtype=np.uint8)
+    return np.packbits(votes * 2 > len(hashes), bitorder="little").view(np.uint64)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, _rid, size, node (a hash of the shingle set) and its band keys."""
+    """doc_id, _rid, size, node (a hash of the shingle set), n (shingles of the set) and the words of its fingerprint."""
     from xxhash import xxh64_intdigest
 
     def kernel(part: pa.RecordBatch) -> dict:
         sets = [shingles(t) for t in part.column(0).to_pylist()]
         node = np.array([xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
-        keys = np.concatenate([bands(s) for s in sets]).view(np.int64) if sets else np.zeros(0, np.int64)
-        dealt = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(keys))
-        return {"doc_id": part.column(1), "_rid": part.column(2), "size": part.column(3), "node": pa.array(node), "bands": dealt}
+        made = np.array([fingerprint(s) for s in sets], dtype=np.uint64).reshape(-1, WORDS).view(np.int64)
+        out = {"doc_id": part.column(1), "_rid": part.column(2), "size": part.column(3), "node": pa.array(node), "n": pa.array(np.array([len(s) for s in sets], np.int64))}
+        return out | {w: pa.array(made[:, i].copy()) for i, w in enumerate(_FP)}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_text(docs.select("text", "doc_id", "_rid", utf8_len().alias("size")), kernel, f"doc_id {kind}, _rid long, size long, node long, bands array<long>")
+    return map_text(docs.select("text", "doc_id", "_rid", utf8_len().alias("size")), kernel, f"doc_id {kind}, _rid long, size long, node long, n long, " + ", ".join(f"{w} long" for w in _FP))
+
+
+@cache
+def keys_needed(take: int, settings: Settings) -> int:
+    """The least number of keys of ``take`` bits by which, and by the radius, no more than MISS of the pairs at 0.8 are missed."""
+    bits, p = WORDS * 64, settings.chance
+    weights = np.array([comb(bits, d) * p**d * (1 - p) ** (bits - d) for d in range(bits + 1)])
+    apart = np.array([1 - comb(bits - d, take) / comb(bits, take) for d in range(settings.radius + 1)])
+    left, beyond = weights[: settings.radius + 1] * apart, weights[settings.radius + 1 :].sum()
+    if beyond > MISS:
+        raise ValueError("no number of keys makes up for this radius")
+    keys = 1
+    while left.sum() + beyond > MISS:
+        left *= apart
+        keys += 1
+    return keys
+
 
+@cache
+def key_bits(take: int) -> np.ndarray:
+    """The bits of every key, cut from permutations of all bits."""
+    rng, bits, keys = np.random.default_rng(SEED), WORDS * 64, keys_needed(take, SMALL)
+    each = max(1, bits // max(take, 1))
+    return np.concatenate([rng.permutation(bits)[: each * take].reshape(each, take) for _ in range(-(-keys // each))])[:keys]
 
-def band_links(nodes: DataFrame) -> DataFrame:
-    """fp, root: each node to the least of every band key it shares."""
+
+def dealt(nodes: DataFrame, take: int, counts: bool = False) -> DataFrame:
+    """key, node, n and fingerprint for every key of every set (or key and rows, for each batch)."""
+    chosen, few = key_bits(take), keys_needed(take, LARGE)
+    places = np.int64(1) << np.arange(take, dtype=np.int64)
 
     def run(batches):
-        key_now = root_now = None
         for b in batches:
-            key, node = b.column(0).to_numpy(), b.column(1).to_numpy()
-            if not len(key):
+            n, node = b.column(1).to_numpy(), b.column(0)
+            words = np.stack([b.column(2 + i).to_numpy() for i in range(WORDS)], axis=1)
+            bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(np.int64)
+            small = np.nonzero(n <= TINY + 1)[0]
+            for k, of in enumerate(chosen):
+                # smaller sets than TINY + 2 may be SMALL pairs and have more keys
+                at = np.arange(len(n)) if k < few else small
+                if not len(at):
+                    break
+                key = bits[np.ix_(at, of)] @ places + (k << take)
+                if counts:
+                    key, rows = np.unique(key, return_counts=True)
+                    yield pa.RecordBatch.from_pydict({"key": pa.array(key), "rows": pa.array(rows)})
+                else:
+                    out = {"key": pa.array(key), "node": node.take(pa.array(at)), "n": pa.array(n[at])}
+                    yield pa.RecordBatch.from_pydict(out | {w: pa.array(words[at, i]) for i, w in enumerate(_FP)})
+
+    rows = bounded(nodes.filter(F.col("n") >= TINY).select("node", "n", *_FP))
+    return rows.mapInArrow(run, "key long, rows long" if counts else "key long, node long, n long, " + ", ".join(f"{w} long" for w in _FP))
+
+
+def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` with the rows a[i] and b[i] linked; every row names the least of its component, before and after."""
+    while len(a):
+        for x, y in zip(root[a[:1024]].tolist(), root[b[:1024]].tolist()):
+            while root[x] != x:
+                x = root[x]
+            while root[y] != y:
+                y = root[y]
+            root[max(x, y)] = min(x, y)
+        while not np.array_equal(up := root[root], root):
+            root = up
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return root
+
+
+def tiled_links(fps: np.ndarray, n: np.ndarray, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """An order of a block's sets and, in that order, the component root of each, by comparing tile with tile.
+
+    ``side`` marks two sub-blocks; sets of one sub-block are then only compared with the other's.
+    """
+    counts = np.bitwise_count(fps).sum(axis=1, dtype=np.int64)
+    order = np.lexsort((counts, n))
+    fps, n, counts, side = fps[order], n[order], counts[order], None if side is None else side[order]
+    root = np.arange(len(n))
+    firsts = np.ascontiguousarray(fps[:, 0])
+    bits, ones = np.empty((TILE, TILE), np.uint64), np.empty((TILE, TILE), np.uint8)
+    starts = range(0, len(n), TILE)
+    low, high = (np.array([f(counts[s : s + TILE]) for s in starts]) for f in (np.min, np.max))
+    for i, at in enumerate(starts):
+        a = firsts[at : at + TILE]
+        settings = SMALL if n[at] <= TINY else LARGE
+        for j in range(i, len(starts)):
+            on = j * TILE
+            if 4 * n[on] > 5 * n[min(at + TILE, len(n)) - 1]:
+                break
+            if low[j] - high[i] > settings.radius or low[i] - high[j] > settings.radius:
                 continue
-            first = np.append(True, key[1:] != key[:-1])
-            root = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-            if key_now is not None and key[0] == key_now:
-                root[key == key_now] = root_now
-            key_now, root_now = key[-1], root[-1]
-            linked = node != root
-            yield pa.RecordBatch.from_pydict({"fp": pa.array(node[linked]), "root": pa.array(root[linked])})
-        release()
+            b = firsts[on : on + TILE]
+            x, c = bits[: len(a), : len(b)], ones[: len(a), : len(b)]
+            np.bitwise_count(np.bitwise_xor(a[:, None], b[None, :], out=x), out=c)
+            p, q = np.nonzero(c <= settings.first)
+            p, q = p + at, q + on
+            less, more = np.minimum(n[p], n[q]), np.maximum(n[p], n[q])
+            # sets of one size differ in one shingle of nine or more, if at all
+            may = (root[p] != root[q]) & (5 * less >= 4 * more) & ((less < more) | (less > 8))
+            if side is not None:
+                may &= side[p] != side[q]
+            p, q, less = p[may], q[may], less[may]
+            apart = np.bitwise_count(fps[p] ^ fps[q]).sum(axis=1, dtype=np.int64)
+            near = apart <= np.where(less <= TINY, SMALL.radius, LARGE.radius)
+            root = joined(root, p[near], q[near])
+    return order, root
 
-    dealt = nodes.select(F.explode("bands").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
-    return bounded(dealt).mapInArrow(run, "fp long, root long").distinct()
+
+def fingerprint_links(nodes: DataFrame) -> DataFrame:
+    """fp, root: a forest of the sets (columns node, n and fingerprint) whose fingerprints share a key and lie within the radius."""
+    take = max(LEAST, int(max(nodes.count() - 1, 0) // AIM).bit_length())
+    large = dealt(nodes, take, counts=True).groupBy("key").agg(F.sum("rows").alias("rows")).filter(F.col("rows") > FULL)
+    # at most one for FULL rows
+    large = F.broadcast(large.select("key", F.ceil(F.col("rows") * 2 / FULL).cast("int").alias("subs")))
+    cells, mine = sub_blocks(dealt(nodes, take).join(large, "key", "left").withColumn("subs", F.coalesce("subs", F.lit(1))))
+
+    def compare(table: pa.Table) -> pa.Table:
+        node = table["node"].to_numpy()
+        fps = np.stack([table[w].to_numpy() for w in _FP], axis=1).view(np.uint64)
+        two = len(node) and table["a"][0].as_py() != table["b"][0].as_py()
+        order, root = tiled_links(fps, table["n"].to_numpy(), table["side"].to_numpy() if two else None)
+        node = node[order]
+        linked = np.nonzero(root != np.arange(len(node)))[0]
+        return pa.table({"fp": pa.array(node[linked]), "root": pa.array(node[root[linked]])})
+
+    cells = cells.select("key", "meet.a", "meet.b", (mine == F.col("meet.a")).alias("side"), "node", "n", *_FP)
+    return cells.groupBy("key", "a", "b").applyInArrow(compare, "fp long, root long").distinct()
+
+
+def sub_blocks(rows: DataFrame):
+    """``rows`` with every pair of sub-blocks of 0 to subs - 1 in which a row's meets (column meet), and the row's own."""
+    mine = F.pmod(F.xxhash64("node"), F.col("subs")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("subs") - 1), lambda o: F.struct(F.least(mine, o).alias("a"), F.greatest(mine, o).alias("b")))
+    return rows.withColumn("meet", F.explode(meets)), mine
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -143,16 +287,15 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` but one of each group of near copies: its least id (of equal ids, one row)."""
     keyed, restored = named_rows(docs)
     prints = checkpointed(signatures(keyed))
-    nodes = prints.groupBy("node").agg(F.min("_rid").alias("_rid"), F.max("size").alias("size"), F.any_value("bands").alias("bands"))
-    near = components(band_links(nodes))
+    nodes = prints.groupBy("node").agg(F.min("_rid").alias("_rid"), F.max("size").alias("size"), *[F.any_value(c).alias(c) for c in ("n", *_FP)])
+    nodes = checkpointed(nodes)
+    near = components(fingerprint_links(nodes))
     # a component's root isn't listed as one of its nodes
     members = near.union(near.select("root", "root")).distinct()
     members = checkpointed(nodes.select("node", "_rid", "size").join(members, "node"))
     subs = members.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.count("*") * 2 / BLOCK), F.ceil(F.sum("size") * 2 / BLOCK_BYTES)).cast("int").alias("subs"))
     subs = subs.withColumn("subs", F.when(F.col("subs") <= 2, 1).otherwise(F.col("subs")))
-    mine = F.pmod(F.xxhash64("node"), F.col("subs")).cast("int")
-    meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("subs") - 1), lambda o: F.struct(F.least(mine, o).alias("a"), F.greatest(mine, o).alias("b"))))
-    cells = members.join(subs, "root").join(keyed.select("_rid", "text"), "_rid").withColumn("meet", meets)
+    cells, mine = sub_blocks(members.join(subs, "root").join(keyed.select("_rid", "text"), "_rid"))
     links = exact_links(cells.select(F.col("root").alias("cell"), "meet.a", "meet.b", (mine == F.col("meet.a")).alias("side"), "node", "text"))
     roots = components(links).withColumnRenamed("node", "_node")
     named = prints.select("doc_id", "_rid", "node").join(roots, F.col("node") == F.col("_node"), "left")
